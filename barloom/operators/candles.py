@@ -5,54 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.times import as_utc, epoch_micros, floor_div, micros_to_utc, width_micros
+from barloom.functions.times import as_utc, epoch_micros, floor_div, width_micros
 from barloom.settings import CANDLE_WIDTH
 
-PRICES = ("open", "high", "low", "close")
 _GROUP = ("_start", "symbol", "asset_class")
 _KEY_BITS = 63
 _UNIT_MICROS = {"ms": 1_000, "us": 1}
 
 
-def rounded(value: Column, decimals: int) -> Column:
+def rounded(value: str, decimals: int) -> str:
     """``round``, skipping its decimal arithmetic for values that are round already."""
-    scale = float(10**decimals)
-    near = F.floor(value * scale + 0.5) / scale
-    return F.when((F.abs(value) < 2**52 / scale) & (near == value), value).otherwise(
-        F.round(value, decimals)
+    scale = f"{10**decimals}D"
+    return (
+        f"CASE WHEN abs({value}) < {2**52 // 10**decimals}D"
+        f" AND floor({value} * {scale} + 0.5D) / {scale} = {value}"
+        f" THEN {value} ELSE round({value}, {decimals}) END"
     )
 
 
-def _totals() -> list[Column]:
-    return [
-        F.max("_p").alias("high"),
-        F.min("_p").alias("low"),
-        F.sum("volume").alias("volume"),
-        F.sum(F.col("price") * F.col("volume")).alias("_notional"),
-        F.count("*").alias("tick_count"),
-    ]
+# Prices are rounded beforehand (_p): rounding keeps order, so the extremes agree.
+_TOTALS = {
+    "high": "max(_p)",
+    "low": "min(_p)",
+    "volume": "sum(volume)",
+    "_notional": "sum(price * volume)",
+    "tick_count": "count(*)",
+}
+
+
+def _aggregates(first: str, last: str) -> list[Column]:
+    named = {"_first": first, "_last": last, **_TOTALS}
+    return [F.expr(f"{text} AS {name}") for name, text in named.items()]
 
 
 def _ordered(ts: str) -> list[Column]:
     """First and last ``(time, price)``. Ties at one instant go to the lowest price
     for the first and to the highest for the last."""
-    moment = F.struct(F.col(ts).alias("t"), F.col("_p").alias("p"))
-    return [F.min(moment).alias("_first"), F.max(moment).alias("_last")]
+    moment = f"struct({ts} AS t, _p AS p)"
+    return _aggregates(f"min({moment})", f"max({moment})")
 
 
-def _finish(parts: DataFrame, decimals: int) -> DataFrame:
-    """Prices come rounded: rounding keeps order, so it may precede the aggregates."""
-    vwap = rounded(F.try_divide("_notional", "volume"), decimals)
-    return parts.select(
+def _finish(parts: DataFrame, start: str, decimals: int) -> DataFrame:
+    vwap = "try_divide(_notional, volume)"
+    return parts.selectExpr(
         "symbol",
         "asset_class",
-        "window_start",
-        F.col("_first.p").alias("open"),
+        f"{start} AS window_start",
+        "_first.p AS open",
         "high",
         "low",
-        F.col("_last.p").alias("close"),
-        rounded(F.col("volume"), decimals).alias("volume"),
-        F.coalesce(vwap, F.lit(0.0)).alias("vwap"),
+        "_last.p AS close",
+        f"{rounded('volume', decimals)} AS volume",
+        f"coalesce({rounded(vwap, decimals)}, 0D) AS vwap",
         "tick_count",
     )
 
@@ -79,12 +83,13 @@ def candles(
         return _batch_candles(ticks, width, ts, decimals, unit)
     if watermark:
         ticks = ticks.withWatermark(ts, watermark)
-    ticks = ticks.withColumn("_p", rounded(F.col("price"), decimals))
-    grouped = ticks.groupBy(F.window(ts, width).alias("_w"), "symbol", "asset_class").agg(
-        *_ordered(ts), *_totals()
+    grouped = (
+        ticks.withColumn("_p", F.expr(rounded("price", decimals)))
+        .groupBy(F.window(ts, width).alias("_w"), "symbol", "asset_class")
+        .agg(*_ordered(ts))
+        .withColumn("_start", F.col("_w.start"))
     )
-    starts = grouped.withColumn("_start", F.col("_w.start"))
-    return _finish(starts.withColumn("window_start", as_utc(starts, "_start")), decimals)
+    return _finish(grouped.withColumn("_start", as_utc(grouped, "_start")), "_start", decimals)
 
 
 def _batch_candles(ticks: DataFrame, width: str, ts: str, decimals: int, unit: str) -> DataFrame:
@@ -98,33 +103,25 @@ def _batch_candles(ticks: DataFrame, width: str, ts: str, decimals: int, unit: s
     """
     per_unit = _UNIT_MICROS[unit]
     step = width_micros(width) // per_unit
-    price = F.col("price")
+    price_bits = _KEY_BITS - step.bit_length()
+    limit = 2**price_bits // 10**decimals
+    odd = f"symbol IS NULL OR price IS NULL OR price < 0 OR price >= {limit}D"
     flat = (
         ticks.select(
             "symbol", "asset_class", "price", "volume", _in_units(ticks, ts, unit).alias("_t")
         )
         .filter("_t IS NOT NULL")
-        .withColumn("_start", F.col("_t") - F.pmod("_t", F.lit(step)))
-        .withColumn("_p", rounded(price, decimals))
+        .selectExpr("*", f"_t - pmod(_t, {step}) AS _start", f"{rounded('price', decimals)} AS _p")
     )
-    price_bits = _KEY_BITS - step.bit_length()
-    limit = float(2**price_bits // 10**decimals)
     packed = _packed_parts(
-        flat.filter(F.col("symbol").isNotNull() & (price >= 0) & (price < limit)),
+        flat.filter(f"symbol IS NOT NULL AND price >= 0 AND price < {limit}D"),
         step,
         price_bits,
         decimals,
     )
-    odd = (
-        flat.filter(
-            F.col("symbol").isNull() | price.isNull() | (price < 0) | (price >= limit)
-        )
-        .groupBy(*_GROUP)
-        .agg(*_ordered("_t"), *_totals())
-    )
-    parts = _combine(packed, odd)
-    start = micros_to_utc(F.col("_start") * per_unit)
-    return _finish(parts.withColumn("window_start", start), decimals)
+    ordered = flat.filter(odd).groupBy(*_GROUP).agg(*_ordered("_t"))
+    start = f"timestampadd(MICROSECOND, _start * {per_unit}, timestamp_ntz'1970-01-01 00:00:00')"
+    return _finish(_combine(packed, ordered), start, decimals)
 
 
 def _in_units(ticks: DataFrame, ts: str, unit: str) -> Column:
@@ -138,29 +135,18 @@ def _in_units(ticks: DataFrame, ts: str, unit: str) -> Column:
 
 
 def _packed_parts(flat: DataFrame, step: int, price_bits: int, decimals: int) -> DataFrame:
-    scale = 10**decimals
-    price_units = F.floor(F.col("_p") * scale + 0.5)
-    key = F.shiftleft(F.pmod("_t", F.lit(step)), price_bits) + price_units
-    grouped = (
-        flat.withColumn("_k", key)
-        .groupBy(*_GROUP)
-        .agg(F.min("_k").alias("_min"), F.max("_k").alias("_max"), *_totals())
-    )
+    scale = f"{10**decimals}D"
+    key = f"shiftleft(pmod(_t, {step}), {price_bits}) + floor(_p * {scale} + 0.5D)"
 
-    def moment(name: str) -> Column:
-        t = F.col("_start") + F.shiftright(name, price_bits)
-        p = F.col(name).bitwiseAND(F.lit(2**price_bits - 1)) / F.lit(float(scale))
-        return F.struct(t.alias("t"), p.alias("p"))
+    def moment(name: str) -> str:
+        price = f"({name} & {2**price_bits - 1}L) / {scale}"
+        return f"struct(_start + shiftright({name}, {price_bits}) AS t, {price} AS p) AS {name}"
 
-    return grouped.select(
-        *_GROUP,
-        moment("_min").alias("_first"),
-        moment("_max").alias("_last"),
-        "high",
-        "low",
-        "volume",
-        "_notional",
-        "tick_count",
+    return (
+        flat.selectExpr("*", f"{key} AS _k")
+        .groupBy(*_GROUP)
+        .agg(*_aggregates("min(_k)", "max(_k)"))
+        .selectExpr(*_GROUP, moment("_first"), moment("_last"), *_TOTALS)
     )
 
 
@@ -168,24 +154,17 @@ def _combine(a: DataFrame, b: DataFrame) -> DataFrame:
     """Candles whose ticks were aggregated in two parts. Plain equality keeps the
     partitioning both aggregates already have; ticks without a symbol are all in one
     part, so their NULL keys need no match."""
-    a, b = a.alias("a"), b.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in _GROUP]
-    both = {
-        "_first": F.least("a._first", "b._first"),
-        "_last": F.greatest("a._last", "b._last"),
-        "high": F.greatest("a.high", "b.high"),
-        "low": F.least("a.low", "b.low"),
-    }
-    sums = {
-        c: F.when(F.col(f"a.{c}").isNull(), F.col(f"b.{c}"))
-        .when(F.col(f"b.{c}").isNull(), F.col(f"a.{c}"))
-        .otherwise(F.col(f"a.{c}") + F.col(f"b.{c}"))
-        for c in ("volume", "_notional", "tick_count")
-    }
-    return a.join(b, same, "full_outer").select(
-        *(F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in _GROUP),
-        *(c.alias(n) for n, c in (both | sums).items()),
+    joined = a.alias("a").join(
+        b.alias("b"), F.expr(" AND ".join(f"a.{k} = b.{k}" for k in _GROUP)), "full_outer"
     )
+    lesser = [f"least(a.{c}, b.{c}) AS {c}" for c in ("_first", "low")]
+    greater = [f"greatest(a.{c}, b.{c}) AS {c}" for c in ("_last", "high")]
+    sums = [
+        f"coalesce(a.{c} + b.{c}, a.{c}, b.{c}) AS {c}"
+        for c in ("volume", "_notional", "tick_count")
+    ]
+    keys = [f"coalesce(a.{k}, b.{k}) AS {k}" for k in _GROUP]
+    return joined.selectExpr(*keys, *lesser, *greater, *sums)
 
 
 def distinct_symbols(bars: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.symbols import asset_class
@@ -11,20 +11,13 @@ from barloom.schemas import SILVER
 from barloom.settings import WATERMARK
 
 
-def is_valid() -> Column:
-    """Price and volume above zero. NaN fails, although Spark orders it above zero."""
-    good = (
-        (F.col("price") > 0)
-        & (F.col("volume") > 0)
-        & ~F.isnan("price")
-        & ~F.isnan("volume")
-    )
-    return F.coalesce(good, F.lit(False))
+# NaN orders above infinity in Spark, so the upper bound is what turns it away.
+VALID = " AND ".join(f"{c} > 0 AND {c} <= double('Infinity')" for c in ("price", "volume"))
 
 
 def clean(ticks: DataFrame) -> DataFrame:
-    """Keep the valid ticks."""
-    return ticks.filter("price > 0 AND volume > 0").filter("NOT isnan(price) AND NOT isnan(volume)")
+    """Keep the ticks with price and volume above zero; NULL and NaN fail."""
+    return ticks.filter(VALID)
 
 
 def enrich(ticks: DataFrame) -> DataFrame:
@@ -92,7 +85,7 @@ def to_silver(bronze: DataFrame, dedup: str = "global", delay: str = WATERMARK)
 def quality_counters(bronze: DataFrame) -> DataFrame:
     """One row: ticks read, valid, distinct among the valid, and dropped."""
     per_id = (
-        bronze.select("event_id", is_valid().alias("_ok"))
+        bronze.selectExpr("event_id", f"coalesce({VALID}, false) AS _ok")
         .groupBy("event_id")
         .agg(F.count("*").alias("n"), F.count_if("_ok").alias("valid"))
     )

@@ -35,12 +35,12 @@ w AS (SELECT * FROM (VALUES ('AAPL'), ('MSFT'), ('GOOGL'), ('BINANCE:BTCUSDT'),
 def _bars(unit: str, where: str = "TRUE") -> str:
     return f"""
   SELECT symbol, asset_class, date_trunc('{unit}', trade_time)::TIMESTAMP AS window_start,
-         round(arg_min(price, (trade_time, price)), {DECIMALS}) AS open,
-         round(max(price), {DECIMALS}) AS high,
-         round(min(price), {DECIMALS}) AS low,
-         round(arg_max(price, (trade_time, price)), {DECIMALS}) AS close,
-         round(sum(volume), {DECIMALS}) AS volume,
-         coalesce(round(sum(price * volume) / sum(volume), {DECIMALS}), 0.0) AS vwap,
+         round(arg_min(price, (trade_time, price)), 6) AS open,
+         round(max(price), 6) AS high,
+         round(min(price), 6) AS low,
+         round(arg_max(price, (trade_time, price)), 6) AS close,
+         round(sum(volume), 6) AS volume,
+         floor(round(sum(price * volume) / sum(volume), 6) * 10000 + 0.505) / 10000 AS vwap,
          count(*) AS tick_count
   FROM v WHERE {where} GROUP BY ALL
 """

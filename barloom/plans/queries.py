@@ -34,7 +34,7 @@ from barloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Both engines add doubles in their own order, so compared sums are cut to this.
+# Decimals kept of compared averages.
 DECIMALS = 4
 
 # The moments and symbols the queries are asked about.
@@ -51,8 +51,14 @@ def _watchlist(spark: SparkSession, symbols: list[str] = WATCHED) -> DataFrame:
     return watchlist_frame(spark, symbols)
 
 
+def _comparable(bars: DataFrame) -> DataFrame:
+    """``vwap`` to four places. Engines add doubles in their own order, so a value
+    half way between two results is always taken up, never left to the last bit."""
+    return bars.withColumn("vwap", F.floor(F.col("vwap") * 10_000 + 0.505) / 10_000)
+
+
 def _bars(spark: SparkSession, sf_dir: str, width: str) -> DataFrame:
-    return candles(clean(T.timed(T.trades(spark, sf_dir))), width, decimals=DECIMALS)
+    return _comparable(candles(clean(T.timed(T.trades(spark, sf_dir))), width))
 
 
 def _vendor_bars(bars: DataFrame, time_col: str) -> DataFrame:
@@ -217,7 +223,7 @@ def asof_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = clean(T.timed(T.trades(spark, sf_dir))).withColumn(
         "load_id", F.col("day").cast("int")
     )
-    return candles(as_of(ticks, 15), "1 hour", decimals=DECIMALS)
+    return _comparable(candles(as_of(ticks, 15), "1 hour"))
 
 
 # -- keyed tables --------------------------------------------------------------
@@ -348,7 +354,7 @@ def replay_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "bronze")
     jobs.write_bronze(T.with_copies(T.trades(spark, sf_dir)), path)
     bronze = spark.read.schema(BRONZE).parquet(path)
-    return replay(bronze, "2024-01-05", "2024-01-24", decimals=DECIMALS)
+    return _comparable(replay(bronze, "2024-01-05", "2024-01-24"))
 
 
 def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,8 +362,8 @@ def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
     mart = Mart(spark, f"{root}/ohlcv_1m", OHLCV_1M, grain="day")
     ticks = to_silver(to_bronze(_event_stream(spark, sf_dir)), dedup="none")
-    jobs.start_gold(ticks, mart, f"{root}/ck", decimals=DECIMALS).awaitTermination()
-    return mart.read().drop("created_at")
+    jobs.start_gold(ticks, mart, f"{root}/ck").awaitTermination()
+    return _comparable(mart.read().drop("created_at"))
 
 
 def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,8 +375,8 @@ def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.start_silver(bronze, f"{root}/silver", f"{root}/ck1").awaitTermination()
     mart = Mart(spark, f"{root}/ohlcv_1m", OHLCV_1M, grain="day")
     silver = jobs.stream_silver(spark, f"{root}/silver")
-    jobs.start_gold(silver, mart, f"{root}/ck2", decimals=DECIMALS).awaitTermination()
-    return mart.read().drop("created_at")
+    jobs.start_gold(silver, mart, f"{root}/ck2").awaitTermination()
+    return _comparable(mart.read().drop("created_at"))
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ become ticks, so the work of every query grows with it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.symbols import asset_class
@@ -29,26 +29,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
-def symbol_of(event_type: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for kind, symbol in SYMBOLS.items():
-        out = F.when(event_type == kind, symbol).otherwise(out)
-    return out
+_SYMBOL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SYMBOLS.items()) + " END"
 
 
 def trades_from(events_df: DataFrame) -> DataFrame:
     """Events to the trade schema. Works on a stream too."""
-    ms = epoch_ms(events_df, "ts")
-    return events_df.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        symbol_of(F.col("event_type")).alias("symbol"),
-        F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("double").alias("volume"),
-        ms.alias("source_timestamp"),
-        (ms + (F.col("event_id") % 7) * 250).alias("ingestion_timestamp"),
-        F.when(F.col("event_id") % 5 == 0, F.array().cast("array<string>"))
-        .otherwise(F.array("event_type"))
-        .alias("trade_conditions"),
+    return events_df.withColumn("_ms", epoch_ms(events_df, "ts")).selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        f"{_SYMBOL} AS symbol",
+        "value AS price",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS volume",
+        "_ms AS source_timestamp",
+        "_ms + (event_id % 7) * 250 AS ingestion_timestamp",
+        "CASE WHEN event_id % 5 = 0 THEN CAST(array() AS ARRAY<STRING>) "
+        "ELSE array(event_type) END AS trade_conditions",
     )
 
 
@@ -82,38 +76,23 @@ def frames_from(events_df: DataFrame) -> DataFrame:
     its numbers, every seventh element has no conditions, and each eleventh event
     also yields a heartbeat and a line that is not JSON.
     """
-    t = trades_from(events_df).withColumn("_n", F.col("event_id").cast("bigint"))
-    quoted = F.col("_n") % 4 == 0
-
-    def number(col: Column) -> Column:
-        text = col.cast("string")
-        return F.when(quoted, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text)
-
-    conditions = F.when(
-        F.col("_n") % 7 == 0, F.lit("")
-    ).otherwise(F.concat(F.lit(',"c":'), F.to_json("trade_conditions")))
-    good = F.concat(
-        F.lit('{"p":'), number(F.col("price")),
-        F.lit(',"s":"'), F.col("symbol"),
-        F.lit('","t":'), number(F.col("source_timestamp")),
-        F.lit(',"v":'), number(F.col("volume")),
-        conditions, F.lit("}"),
-    )
-    bad = F.when(
-        F.col("_n") % 3 == 0,
-        F.concat(F.lit(',{"s":"'), F.col("symbol"), F.lit('","t":1,"v":1}')),
-    ).otherwise("")
-    frame = F.concat(F.lit('{"type":"trade","data":['), good, bad, F.lit("]}"))
-    extra = F.col("_n") % 11 == 0
-    lines = F.when(
-        extra,
-        F.array(
-            frame,
-            F.lit('{"type":"ping"}'),
-            F.concat(F.lit("not json "), F.col("event_id")),
-        ),
-    ).otherwise(F.array(frame))
-    return t.select(F.explode(lines).alias("value"))
+    t = trades_from(events_df).withColumn("_n", F.expr("CAST(event_id AS BIGINT)"))
+
+    def number(col: str) -> str:
+        return f"if(_n % 4 = 0, concat('\"', {col}, '\"'), CAST({col} AS STRING))"
+
+    good = (
+        f"""concat('{{"p":', {number("price")}, ',"s":"', symbol, '","t":', """
+        f"""{number("source_timestamp")}, ',"v":', {number("volume")}, """
+        """if(_n % 7 = 0, '', concat(',"c":', to_json(trade_conditions))), '}')"""
+    )
+    bad = """if(_n % 3 = 0, concat(',{"s":"', symbol, '","t":1,"v":1}'), '')"""
+    frame = f"""concat('{{"type":"trade","data":[', {good}, {bad}, ']}}')"""
+    lines = (
+        f"""if(_n % 11 = 0, array({frame}, '{{"type":"ping"}}', concat('not json ', event_id)), """
+        f"array({frame}))"
+    )
+    return t.selectExpr(f"explode({lines}) AS value")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
