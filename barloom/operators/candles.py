@@ -24,25 +24,20 @@ def rounded(value: str, decimals: int) -> str:
 
 
 # Prices are rounded beforehand (_p): rounding keeps order, so the extremes agree.
-_TOTALS = {
-    "high": "max(_p)",
-    "low": "min(_p)",
-    "volume": "sum(volume)",
-    "_notional": "sum(price * volume)",
-    "tick_count": "count(*)",
-}
+_EXTREMES = {"high": "max(_p)", "low": "min(_p)"}
+_SUMS = {"volume": "sum(volume)", "_notional": "sum(price * volume)", "tick_count": "count(*)"}
 
 
-def _aggregates(first: str, last: str) -> list[Column]:
-    named = {"_first": first, "_last": last, **_TOTALS}
+def _aggregates(**named: str) -> list[Column]:
     return [F.expr(f"{text} AS {name}") for name, text in named.items()]
 
 
-def _ordered(ts: str) -> list[Column]:
+def _first_and_last(ts: str, low: str, high: str) -> list[Column]:
     """First and last ``(time, price)``. Ties at one instant go to the lowest price
     for the first and to the highest for the last."""
-    moment = f"struct({ts} AS t, _p AS p)"
-    return _aggregates(f"min({moment})", f"max({moment})")
+    return _aggregates(
+        _first=f"min(struct({ts} AS t, {low} AS p))", _last=f"max(struct({ts} AS t, {high} AS p))"
+    )
 
 
 def _finish(parts: DataFrame, start: str, decimals: int) -> DataFrame:
@@ -86,7 +81,7 @@ def candles(
     grouped = (
         ticks.withColumn("_p", F.expr(rounded("price", decimals)))
         .groupBy(F.window(ts, width).alias("_w"), "symbol", "asset_class")
-        .agg(*_ordered(ts))
+        .agg(*_first_and_last(ts, "_p", "_p"), *_aggregates(**_EXTREMES, **_SUMS))
         .withColumn("_start", F.col("_w.start"))
     )
     return _finish(grouped.withColumn("_start", as_utc(grouped, "_start")), "_start", decimals)
@@ -119,7 +114,7 @@ def _batch_candles(ticks: DataFrame, width: str, ts: str, decimals: int, unit: s
         price_bits,
         decimals,
     )
-    ordered = flat.filter(odd).groupBy(*_GROUP).agg(*_ordered("_t"))
+    ordered = _ordered_parts(flat.filter(odd))
     start = f"timestampadd(MICROSECOND, _start * {per_unit}, timestamp_ntz'1970-01-01 00:00:00')"
     return _finish(_combine(packed, ordered), start, decimals)
 
@@ -145,8 +140,20 @@ def _packed_parts(flat: DataFrame, step: int, price_bits: int, decimals: int) ->
     return (
         flat.selectExpr("*", f"{key} AS _k")
         .groupBy(*_GROUP)
-        .agg(*_aggregates("min(_k)", "max(_k)"))
-        .selectExpr(*_GROUP, moment("_first"), moment("_last"), *_TOTALS)
+        .agg(*_aggregates(_first="min(_k)", _last="max(_k)", **_EXTREMES, **_SUMS))
+        .selectExpr(*_GROUP, moment("_first"), moment("_last"), *_EXTREMES, *_SUMS)
+    )
+
+
+def _ordered_parts(flat: DataFrame) -> DataFrame:
+    """Ticks of one instant first become one row. That step aggregates by hash, and
+    only so does the adaptive planner notice that there are none."""
+    instants = flat.groupBy(*_GROUP, "_t").agg(
+        *_aggregates(_high="max(_p)", _low="min(_p)", **_SUMS)
+    )
+    return instants.groupBy(*_GROUP).agg(
+        *_first_and_last("_t", "_low", "_high"),
+        *_aggregates(high="max(_high)", low="min(_low)", **{c: f"sum({c})" for c in _SUMS}),
     )
 
 
@@ -161,7 +168,7 @@ def _combine(a: DataFrame, b: DataFrame) -> DataFrame:
     greater = [f"greatest(a.{c}, b.{c}) AS {c}" for c in ("_last", "high")]
     sums = [
         f"coalesce(a.{c} + b.{c}, a.{c}, b.{c}) AS {c}"
-        for c in ("volume", "_notional", "tick_count")
+        for c in _SUMS
     ]
     keys = [f"coalesce(a.{k}, b.{k}) AS {k}" for k in _GROUP]
     return joined.selectExpr(*keys, *lesser, *greater, *sums)

@@ -33,7 +33,8 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
 
     ``frames`` has a ``value`` column (text or bytes). Heartbeats and other frame
     types vanish. A frame that is not JSON gives a single rejected row; a malformed
-    element is rejected alone, without its neighbours. ``raw`` keeps rejected text.
+    element is rejected alone, without its neighbours. ``raw`` keeps the rejected
+    element, or the whole frame where there is no element to show.
     """
     value = F.col("value").cast("string")
     decoded = frames.select(
@@ -45,7 +46,9 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
     # One misshapen element spoils the typed array of its whole frame. Such frames,
     # and only those, are read again with their elements as text.
     texts = F.from_json("_value", "type STRING, data ARRAY<STRING>")
-    one_by_one = F.transform(texts["data"], lambda x: F.from_json(x, element))
+    one_by_one = F.transform(
+        texts["data"], lambda x: F.when(x.startswith("{"), F.from_json(x, element))
+    )
     undecodable = broken & F.coalesce(texts["type"] != "trade", F.lit(True))
     unreadable = undecodable | (broken & texts["data"].isNull())
     elements = (
@@ -78,7 +81,7 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
         (F.unix_millis(F.current_timestamp()) if now is None else now).alias("ingestion_timestamp"),
         F.coalesce(F.col("_e.c"), F.array().cast("array<string>")).alias("trade_conditions"),
         reason.alias("reject_reason"),
-        F.when(F.col("_unreadable"), F.col("_value"))
+        F.when(F.col("_unreadable") | F.col("_e").isNull(), F.col("_value"))
         .when(reason.isNotNull(), F.to_json("_e"))
         .alias("raw"),
     )

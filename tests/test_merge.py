@@ -1,0 +1,148 @@
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.operators.merge import DAILY, HEAL, LIVE, last_per_key, merge_upsert
+from barloom.schemas import OHLCV_1M, OHLCV_DAILY
+from barloom.sources.mart import Mart
+
+NOW = datetime(2024, 5, 1, 12)
+LATER = datetime(2024, 5, 2, 12)
+
+
+def bar(symbol, moment, price=1.0, vwap=1.5, ticks=9, asset="Stock"):
+    return (symbol, asset, moment, price, price, price, price, 10.0, vwap, ticks)
+
+
+def bars(spark, *rows):
+    ddl = (
+        "symbol string, asset_class string, window_start timestamp_ntz, open double, high double, "
+        "low double, close double, volume double, vwap double, tick_count bigint"
+    )
+    return spark.createDataFrame(list(rows), ddl)
+
+
+def contents(df):
+    return {(r.symbol, r.window_start): r for r in df.collect()}
+
+
+T0 = datetime(2024, 1, 1, 10, 0)
+T1 = datetime(2024, 1, 1, 10, 1)
+T2 = datetime(2024, 1, 2, 0, 0)
+
+
+def test_live_rule(spark):
+    stored = bars(spark, bar("A", T0, asset="Old"), bar("A", T1))
+    fresh = bars(spark, bar("A", T0, 2.0, None, 3, asset="New"), bar("B", T0, 4.0, asset="New"))
+    got = contents(merge_upsert(stored, fresh, LIVE))
+    assert len(got) == 3
+    changed = got["A", T0]
+    assert (changed.asset_class, changed.open, changed.vwap, changed.tick_count) == ("Old", 2.0, None, 3)
+    assert got["A", T1].open == 1.0
+    assert (got["B", T0].asset_class, got["B", T0].open) == ("New", 4.0)
+
+
+def test_heal_rule_keeps_vwap_and_ticks(spark):
+    stored = bars(spark, bar("A", T0))
+    fresh = bars(spark, bar("A", T0, 2.0), bar("A", T1, 3.0)).drop("vwap", "tick_count")
+    got = contents(merge_upsert(stored, fresh, HEAL))
+    assert (got["A", T0].open, got["A", T0].vwap, got["A", T0].tick_count) == (2.0, 1.5, 9)
+    assert (got["A", T1].open, got["A", T1].vwap, got["A", T1].tick_count) == (3.0, None, 1)
+
+
+def test_repeated_source_keys_collapse(spark):
+    fresh = bars(spark, bar("A", T0, 1.0), bar("A", T0, 3.0), bar("A", T0, 2.0))
+    got = merge_upsert(bars(spark), fresh, LIVE).collect()
+    assert [r.open for r in got] == [3.0]
+    seen = fresh.withColumn("seen", -F.col("open"))
+    kept = last_per_key(seen, ["symbol", "window_start"], ["seen"]).collect()
+    assert [r.open for r in kept] == [1.0]
+    plan = last_per_key(seen, ["symbol"], ["seen"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+
+
+def test_empty_source(spark):
+    stored = bars(spark, bar("A", T0))
+    assert merge_upsert(stored, bars(spark), LIVE).collect() == stored.collect()
+
+
+@pytest.mark.parametrize("grain", ["hour", "day", "month", "year"])
+def test_mart_merges(spark, tmp_path, grain):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M, grain)
+    assert mart.read().count() == 0
+    mart.merge(bars(spark, bar("A", T0), bar("A", T1), bar("A", T2)), LIVE, now=NOW)
+    mart.merge(bars(spark, bar("A", T1, 5.0), bar("B", T2, 6.0)), LIVE, now=LATER)
+    got = contents(mart.read())
+    assert {k: v.open for k, v in got.items()} == {
+        ("A", T0): 1.0,
+        ("A", T1): 5.0,
+        ("A", T2): 1.0,
+        ("B", T2): 6.0,
+    }
+    assert got["A", T0].created_at == NOW
+    assert got["A", T1].created_at == LATER
+    assert mart.read(since=F.lit(T2).cast("timestamp_ntz")).count() == 2
+    assert mart.read(until=F.lit(T1).cast("timestamp_ntz")).count() == 1
+    assert not os.path.exists(f"{mart.path}.incoming")
+    assert not os.path.exists(f"{mart.path}.pending")
+
+
+def test_merge_is_idempotent(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    rows = bars(spark, bar("A", T0), bar("B", T2))
+    mart.merge(rows, LIVE, now=NOW)
+    once = sorted(mart.read().collect())
+    mart.merge(rows, LIVE, now=NOW)
+    assert sorted(mart.read().collect()) == once
+
+
+def test_untouched_periods_are_not_rewritten(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M, "day")
+    mart.merge(bars(spark, bar("A", T0), bar("A", T2)), LIVE)
+
+    def files(day):
+        folder = f"{mart.path}/period={day}"
+        return sorted(os.listdir(folder))
+
+    first, second = files("2024-01-01"), files("2024-01-02")
+    mart.merge(bars(spark, bar("A", datetime(2024, 1, 2, 5))), LIVE)
+    assert files("2024-01-01") == first
+    assert files("2024-01-02") != second
+    plan = mart.read(since=F.lit(T2).cast("timestamp_ntz"))
+    assert "PartitionFilters: [isnotnull(period" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interrupted_merge_is_finished(spark, tmp_path, monkeypatch):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    mart.merge(bars(spark, bar("A", T0), bar("A", T2)), LIVE)
+
+    def die(self):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Mart, "_apply", die)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            mart.merge(bars(spark, bar("A", T1, 7.0)), LIVE)
+    again = Mart(spark, mart.path, OHLCV_1M)
+    again.merge(bars(spark, bar("B", T2)), LIVE)
+    got = contents(again.read())
+    assert len(got) == 4
+    assert got["A", T1].open == 7.0
+
+
+def test_null_in_a_required_column_is_refused(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    mart.merge(bars(spark, bar("A", T0)), LIVE)
+    with pytest.raises(Exception, match="open must not be NULL"):
+        mart.merge(bars(spark, bar("A", T1, None)), LIVE)
+    assert mart.read().count() == 1
+
+
+def test_empty_merge_changes_nothing(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_DAILY, "month")
+    nothing = bars(spark).drop("asset_class", "vwap", "tick_count")
+    mart.merge(nothing, DAILY)
+    assert mart.read().count() == 0
+    assert mart.read().schema.fieldNames() == OHLCV_DAILY.fieldNames()
