@@ -44,7 +44,5 @@ class RowCounters(StreamingQueryListener):
 def late_rows(query: StreamingQuery) -> int:
     """Rows the recent batches of ``query`` dropped behind the watermark."""
     return sum(
-        s.get("numRowsDroppedByWatermark", 0)
-        for p in query.recentProgress
-        for s in p["stateOperators"]
+        s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators
     )

@@ -14,7 +14,7 @@ def spark():
         "barloom-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,0 +1,74 @@
+import sqlite3
+
+import pytest
+
+from barloom import settings
+from barloom.operators.merge import DAILY, HEAL, LIVE
+from barloom.session import scratch_dir
+from barloom.sources.connectors import merge_statement, upsert_relational, upsert_statement
+
+COLUMNS = ["symbol", "window_start", "open", "high", "low", "close", "volume"]
+
+
+def test_statements():
+    text = upsert_statement("ohlcv_1m", COLUMNS, HEAL)
+    assert text.startswith("INSERT INTO ohlcv_1m (symbol, window_start, open, high, low, close, volume, vwap, tick_count)")
+    assert "VALUES (%s, %s, %s, %s, %s, %s, %s, NULL, 1)" in text
+    assert "vwap = EXCLUDED" not in text and "tick_count = EXCLUDED" not in text
+    assert text.endswith("created_at = CURRENT_TIMESTAMP")
+    assert "asset_class = EXCLUDED" not in upsert_statement("t", [*COLUMNS, "asset_class"], LIVE)
+    merge = merge_statement("mart", COLUMNS, HEAL)
+    assert merge.startswith("MERGE INTO mart t USING s ON t.symbol = s.symbol AND t.window_start = s.window_start")
+    assert "UPDATE SET t.open = s.open" in merge
+    assert merge.endswith("VALUES (s.symbol, s.window_start, s.open, s.high, s.low, s.close, s.volume, NULL, 1)")
+
+
+def test_relational_upsert_from_executors(spark, tmp_path):
+    """An embedded file database stands in for the relational mart."""
+    path = str(tmp_path / "mart.db")
+    with sqlite3.connect(path) as db:
+        db.execute(
+            "CREATE TABLE ohlcv_daily (symbol TEXT, window_start TEXT, open REAL, high REAL, low REAL,"
+            " close REAL, volume REAL, created_at TEXT DEFAULT CURRENT_TIMESTAMP,"
+            " UNIQUE (symbol, window_start))"
+        )
+
+    def connect():
+        return sqlite3.connect(path, timeout=60)
+
+    rows = [(f"S{i}", "2024-01-01", *[float(i)] * 5) for i in range(50)]
+    ddl = "symbol string, window_start string, open double, high double, low double, close double, volume double"
+    bars = spark.createDataFrame(rows, ddl)
+    for factor in (1, 2):
+        upsert_relational(
+            bars.withColumn("close", bars.close * factor), "ohlcv_daily", DAILY, connect,
+            mark="?", connections=3, chunk=7,
+        )
+    with sqlite3.connect(path) as db:
+        got = db.execute("SELECT count(*), sum(close), sum(open) FROM ohlcv_daily").fetchone()
+    assert got == (50, 2.0 * sum(range(50)), 1.0 * sum(range(50)))
+
+
+def test_watchlist_setting(monkeypatch):
+    monkeypatch.delenv("WATCHLIST", raising=False)
+    assert settings.watchlist() == ["AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "TSLA", "META"]
+    monkeypatch.setenv("WATCHLIST", "A, B,BINANCE:X")
+    assert settings.watchlist() == ["A", " B", "BINANCE:X"]
+
+
+def test_scratch_folder_follows_the_session(spark, monkeypatch):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
+    assert first != second
+    if base:
+        assert first.startswith(base.rstrip("/"))
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster, "a")
