@@ -14,11 +14,13 @@ from barloom.operators.silver import quality_counters, to_silver
 from barloom.plans.daily import load_daily
 from barloom.plans.heal import heal_minutes
 from barloom.plans.monitor import gaps, latency, pulse
+from barloom.plans.pipeline import backfill, start_live
 from barloom.plans.replay import replay
 from barloom.sources.mart import Mart
 
 __all__ = [
     "Mart",
+    "backfill",
     "candles",
     "encode_trades",
     "gaps",
@@ -33,6 +35,7 @@ __all__ = [
     "quality_counters",
     "raw_backup",
     "replay",
+    "start_live",
     "to_bronze",
     "to_silver",
 ]

@@ -102,10 +102,8 @@ def _batch_candles(ticks: DataFrame, width: str, ts: str, decimals: int, unit: s
     limit = 2**price_bits // 10**decimals
     odd = f"symbol IS NULL OR price IS NULL OR price < 0 OR price >= {limit}D"
     flat = (
-        ticks.select(
-            "symbol", "asset_class", "price", "volume", _in_units(ticks, ts, unit).alias("_t")
-        )
-        .filter("_t IS NOT NULL")
+        ticks.filter(F.col(ts).isNotNull())
+        .select("symbol", "asset_class", "price", "volume", _in_units(ticks, ts, unit).alias("_t"))
         .selectExpr("*", f"_t - pmod(_t, {step}) AS _start", f"{rounded('price', decimals)} AS _p")
     )
     packed = _packed_parts(

@@ -26,6 +26,7 @@ from barloom.plans import ticks as T
 from barloom.plans.daily import daily_increment, load_daily, read_backup
 from barloom.plans.heal import heal_increment, heal_minutes
 from barloom.plans.monitor import flow_rate, gaps, latency, pulse
+from barloom.plans.pipeline import backfill, minute_mart
 from barloom.plans.replay import as_of, register_views, replay
 from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, OHLCV_DAILY, SILVER, SILVER_PARTITIONS
 from barloom.session import scratch_dir
@@ -369,13 +370,8 @@ def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames to bronze to silver to candles, three streams joined by storage."""
     root = scratch_dir(spark, "medallion")
-    frames = T.frames_from(T.event_stream(spark, sf_dir))
-    jobs.start_bronze(frames, f"{root}/bronze", f"{root}/ck0", event_id="payload").awaitTermination()
-    bronze = jobs.stream_bronze(spark, f"{root}/bronze")
-    jobs.start_silver(bronze, f"{root}/silver", f"{root}/ck1").awaitTermination()
-    mart = Mart(spark, f"{root}/ohlcv_1m", OHLCV_1M, grain="day")
-    silver = jobs.stream_silver(spark, f"{root}/silver")
-    jobs.start_gold(silver, mart, f"{root}/ck2").awaitTermination()
+    mart = minute_mart(spark, root, "day")
+    backfill(T.frames_from(T.event_stream(spark, sf_dir)), root, mart)
     return _comparable(mart.read().drop("created_at"))
 
 

@@ -23,6 +23,7 @@ from barloom.sources.paths import delete, exists
 # Length of 'yyyy-MM-dd HH' that names a period of each grain.
 GRAINS = {"year": 4, "month": 7, "day": 10, "hour": 13}
 PERIOD = "period"
+_BROADCAST_PERIODS = 100_000
 
 
 class Mart:
@@ -95,9 +96,15 @@ class Mart:
         self.ensure()
         self._incoming_rows(source, order, now).write.mode("overwrite").parquet(self._incoming)
         rows = self.spark.read.parquet(self._incoming)
-        first, last = rows.agg(F.min(PERIOD), F.max(PERIOD)).first()
-        if first is not None:
+        first, last, n_periods = rows.agg(
+            F.min(PERIOD), F.max(PERIOD), F.countDistinct(PERIOD)
+        ).first()
+        if n_periods:
             touched = rows.select(PERIOD).distinct()
+            if n_periods <= _BROADCAST_PERIODS:
+                # Counted, so known to be a few megabytes at most; a broadcast also
+                # prunes the directories between the first and the last period.
+                touched = F.broadcast(touched)
             before = (
                 self._table()
                 .filter(F.col(PERIOD).between(first, last))

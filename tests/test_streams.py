@@ -232,3 +232,26 @@ def test_live_triggers(spark, tmp_path):
         assert mart.read().count() == 1
     finally:
         query.stop()
+
+
+def test_live_pipeline(spark, tmp_path, monkeypatch):
+    """All hops at once, started before there is any data."""
+    from barloom import settings
+    from barloom.plans.pipeline import minute_mart, start_live
+
+    for name in ("BRONZE_TRIGGER", "SILVER_TRIGGER", "GOLD_TRIGGER"):
+        monkeypatch.setattr(settings, name, "1 second")
+    root = str(tmp_path / "lake")
+    (tmp_path / "frames").mkdir()
+    mart = minute_mart(spark, root)
+    queries = start_live(read_frames(spark, "text", str(tmp_path / "frames")), root, mart)
+    try:
+        (tmp_path / "frames" / "a.txt").write_text(frame({"s": "AAPL", "p": 3, "v": 2, "t": at(0)}))
+        deadline = time.time() + 90
+        while time.time() < deadline and mart.read().count() == 0:
+            time.sleep(0.5)
+        assert all(q.isActive for q in queries)
+        assert [r.close for r in mart.read().collect()] == [3.0]
+    finally:
+        for q in queries:
+            q.stop()
