@@ -34,6 +34,7 @@ def start_live(
             paths["silver"],
             paths["ck_silver"],
             settings.SILVER_TRIGGER,
+            files=settings.SILVER_FILES,
         ),
         jobs.start_gold(
             jobs.stream_silver(spark, paths["silver"]),

@@ -15,6 +15,9 @@ BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "10 seconds"
 GOLD_TRIGGER = "30 seconds"
 
+# Files per directory and batch that the live clean layer writes.
+SILVER_FILES = 4
+
 # How far the batch jobs look back.
 HEAL_LOOKBACK_DAYS = 6
 DAILY_HISTORY_YEARS = 3

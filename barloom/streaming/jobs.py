@@ -11,7 +11,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from barloom.operators.bronze import to_bronze
 from barloom.operators.candles import candles
@@ -90,8 +92,12 @@ def start_quarantine(
     return _start(writer, checkpoint, every)
 
 
-def stream_bronze(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return _stream(spark, BRONZE, path, max_files)
+def stream_bronze(
+    spark: SparkSession, path: str, max_files: int | None = None, skip_corrupt: bool = False
+) -> DataFrame:
+    """The raw layer, each file once. ``skip_corrupt`` passes over unreadable files
+    instead of failing the batch."""
+    return _stream(spark, BRONZE, path, max_files, ignoreCorruptFiles=skip_corrupt)
 
 
 # -- silver --------------------------------------------------------------------
@@ -109,11 +115,16 @@ def start_silver(
     every: str | None = None,
     dedup: str = "watermark",
     delay: str = WATERMARK,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Raw layer to the clean layer.
 
     ``watermark`` also drops an id redelivered in a later batch; its memory is the
     watermark delay. ``batch`` forgets between batches.
+
+    Deduplication spreads every day over all tasks, each of which writes a file per
+    directory. ``files`` bounds the files per directory and batch by one more shuffle:
+    right for small live batches, wrong for a backfill with a few huge days.
     """
     read = observed(bronze, "silver_read")
     if dedup == "batch":
@@ -123,6 +134,9 @@ def start_silver(
 
         return _start(read.writeStream.foreachBatch(append), checkpoint, every)
     rows = observed(to_silver(read, dedup, delay), "silver_kept")
+    if files:
+        share = F.pmod(F.hash("event_id"), F.lit(files))
+        rows = rows.repartition(*SILVER_PARTITIONS, share)
     writer = rows.writeStream.format("parquet").option("path", path)
     with _rocksdb(bronze.sparkSession):
         return _start(writer.partitionBy(*SILVER_PARTITIONS), checkpoint, every)
@@ -159,8 +173,10 @@ def start_gold(
         return _start(writer, checkpoint, every)
 
 
-def _stream(spark: SparkSession, schema, path: str, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+def _stream(
+    spark: SparkSession, schema: StructType, path: str, max_files: int | None, **options
+) -> DataFrame:
+    reader = spark.readStream.schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

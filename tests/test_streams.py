@@ -255,3 +255,26 @@ def test_live_pipeline(spark, tmp_path, monkeypatch):
     finally:
         for q in queries:
             q.stop()
+
+
+def test_files_per_directory_are_bounded(spark, tmp_path):
+    rows = [trade(f"e{i}", at(0, i % 60)) for i in range(200)]
+    jobs.write_bronze(spark.createDataFrame(rows, TRADE), str(tmp_path / "bronze"))
+    bronze = jobs.stream_bronze(spark, str(tmp_path / "bronze"))
+    out = tmp_path / "silver"
+    jobs.start_silver(bronze, str(out), str(tmp_path / "ck"), files=1).awaitTermination()
+    assert len(list(out.rglob("*.parquet"))) == 1
+    assert spark.read.schema(SILVER).parquet(str(out)).count() == 200
+
+
+def test_corrupt_files_can_be_skipped(spark, tmp_path):
+    path = tmp_path / "bronze"
+    jobs.write_bronze(spark.createDataFrame([trade("a", at(0))], TRADE), str(path))
+    day = next(path.rglob("*.parquet")).parent
+    (day / "broken.parquet").write_bytes(b"not parquet")
+    strict = jobs.stream_bronze(spark, str(path))
+    with pytest.raises(Exception, match="broken.parquet"):
+        jobs.start_silver(strict, str(tmp_path / "s1"), str(tmp_path / "c1")).awaitTermination()
+    lenient = jobs.stream_bronze(spark, str(path), skip_corrupt=True)
+    jobs.start_silver(lenient, str(tmp_path / "s2"), str(tmp_path / "c2")).awaitTermination()
+    assert spark.read.schema(SILVER).parquet(str(tmp_path / "s2")).count() == 1
