@@ -19,6 +19,10 @@ def _whole_number(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
 
 
+def _plausible(ms: Column) -> Column:
+    return F.coalesce(ms.between(MIN_MS, MAX_MS), F.lit(False))
+
+
 def _event_id(kind: str) -> Column:
     if kind == "uuid":
         return F.expr("uuid()")
@@ -45,12 +49,13 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
     broken = F.col("_f").isNull() | F.col("_f._corrupt").isNotNull()
     # One misshapen element spoils the typed array of its whole frame. Such frames,
     # and only those, are read again with their elements as text.
-    texts = F.from_json("_value", "type STRING, data ARRAY<STRING>")
+    reread = F.when(broken, F.from_json("_value", "type STRING, data ARRAY<STRING>"))
+    decoded = decoded.withColumn("_texts", reread)
     one_by_one = F.transform(
-        texts["data"], lambda x: F.when(x.startswith("{"), F.from_json(x, element))
+        "_texts.data", lambda x: F.when(x.startswith("{"), F.from_json(x, element))
     )
-    undecodable = broken & F.coalesce(texts["type"] != "trade", F.lit(True))
-    unreadable = undecodable | (broken & texts["data"].isNull())
+    lost = F.col("_texts.data").isNull() | F.coalesce(F.col("_texts.type") != "trade", F.lit(True))
+    unreadable = F.when(broken, lost).otherwise(F.lit(False))
     elements = (
         F.when(unreadable, F.array(F.lit(None).cast(element)))
         .when(broken, one_by_one)
@@ -61,28 +66,33 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
         unreadable.alias("_unreadable"),
         F.posexplode(elements).alias("_pos", "_e"),
     )
-    price = F.col("_e.p").try_cast("double")
-    volume = F.col("_e.v").try_cast("double")
-    moment = _whole_number(F.col("_e.t"))
+    typed = exploded.withColumns(
+        {
+            "price": F.col("_e.p").try_cast("double"),
+            "volume": F.col("_e.v").try_cast("double"),
+            "source_timestamp": _whole_number(F.col("_e.t")),
+        }
+    )
     reason = (
         F.when(F.col("_unreadable"), "bad_json")
         .when(F.col("_e").isNull(), "bad_element")
         .when(F.col("_e.s").isNull(), "bad_symbol")
-        .when(price.isNull(), "bad_price")
-        .when(volume.isNull(), "bad_volume")
-        .when(moment.isNull() | ~moment.between(MIN_MS, MAX_MS), "bad_time")
+        .when(F.col("price").isNull(), "bad_price")
+        .when(F.col("volume").isNull(), "bad_volume")
+        .when(~_plausible(F.col("source_timestamp")), "bad_time")
     )
-    return exploded.select(
+    whole_frame = F.col("_unreadable") | F.col("_e").isNull()
+    return typed.withColumn("reject_reason", reason).select(
         _event_id(event_id).alias("event_id"),
         F.col("_e.s").alias("symbol"),
-        price.alias("price"),
-        volume.alias("volume"),
-        moment.alias("source_timestamp"),
+        "price",
+        "volume",
+        "source_timestamp",
         (F.unix_millis(F.current_timestamp()) if now is None else now).alias("ingestion_timestamp"),
         F.coalesce(F.col("_e.c"), F.array().cast("array<string>")).alias("trade_conditions"),
-        reason.alias("reject_reason"),
-        F.when(F.col("_unreadable") | F.col("_e").isNull(), F.col("_value"))
-        .when(reason.isNotNull(), F.to_json("_e"))
+        "reject_reason",
+        F.when(whole_frame, F.col("_value"))
+        .when(F.col("reject_reason").isNotNull(), F.to_json("_e"))
         .alias("raw"),
     )
 
@@ -126,11 +136,10 @@ def mark_records(records: DataFrame) -> DataFrame:
         text.alias("_text"),
         F.from_json(text, ddl, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_t"),
     )
-    moment = F.col("_t.source_timestamp")
     reason = (
         F.when(F.col("_text").isNull(), "bad_utf8")
         .when(F.col("_t").isNull() | F.col("_t._corrupt").isNotNull(), "bad_json")
-        .when(moment.isNull() | ~moment.between(MIN_MS, MAX_MS), "bad_time")
+        .when(~_plausible(F.col("_t.source_timestamp")), "bad_time")
     )
     return decoded.select("_t.*", reason.alias("reject_reason"), F.col("_text").alias("raw")).drop(
         "_corrupt"
