@@ -4,6 +4,8 @@ import pytest
 from oracle_check import connect, mismatch
 
 import __spark_entry__ as driver
+from barloom.plans.oracle import ORACLE
+from barloom.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,10 +17,10 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_oracle(spark, oracle, name):
     assert mismatch(driver.queries()[name](spark, SF_DIR), oracle, driver.oracle_sql()[name]) is None
 
@@ -31,7 +33,7 @@ def test_zone_independence(new_york, oracle):
 
 def test_no_join_without_keys(spark):
     stored = {"bronze_scan", "silver_scan", "daily_load", "heal_job", "mart_adhoc", "replay_day_range", "stream_candles", "medallion"}
-    for name, query in driver.queries().items():
+    for name, query in QUERIES.items():
         if name in stored:
             continue
         plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
