@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from barloom.llm.decontaminate import OP1_SQL, op1_winnowing
 from barloom.llm.fingerprints import op5_bottom_k
+from barloom.llm.html import op3_host_consensus
+from barloom.llm.langid import op7_byte_network
 from barloom.llm.licenses import OP9_SQL, op9_license_sentences
 from barloom.llm.lines import OP4_SQL, op4_line_spread
 from barloom.llm.sentencepiece import op2_unigram_pieces
@@ -12,8 +14,10 @@ from barloom.llm.token_counts import op10_section_tokens
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_unigram_pieces": op2_unigram_pieces,
+    "op3_host_consensus": op3_host_consensus,
     "op4_line_spread": op4_line_spread,
     "op5_bottom_k": op5_bottom_k,
+    "op7_byte_network": op7_byte_network,
     "op9_license_sentences": op9_license_sentences,
     "op10_section_tokens": op10_section_tokens,
 }
