@@ -152,6 +152,14 @@ def fields(df: DataFrame, *names: str) -> list[str]:
     return [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if not names or f.name in names]
 
 
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of these names out of the way, and what brings back its own columns."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in names}
+    back = {v: k for k, v in own.items()}
+    columns = docs.columns
+    return docs.withColumnsRenamed(own), lambda df: df.drop(*own).withColumnsRenamed(back).select(*columns)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the folder that the cluster names in ``spark.checkpoint.dir``."""
     context = df.sparkSession.sparkContext

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import Words, blocks, checkpoint, fields, gram_hashes, map_arrow, read, text_bytes
+from barloom.llm.common import Words, aside, blocks, checkpoint, fields, gram_hashes, map_arrow, read, text_bytes
 
 #: Words of a shared span that count as contamination.
 SPAN = 10
@@ -214,6 +214,12 @@ def contamination(docs: DataFrame, bench: DataFrame, broadcast_bytes: int = BROA
     return _joined(docs, bench)
 
 
+def uncontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    """The documents without any window of the benchmark, with their own columns."""
+    rows, own_columns = aside(docs, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return own_columns(contamination(rows, bench).where(~F.col("contaminated")))
+
+
 def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its words, those inside a benchmark window, and the items found."""
     return contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")).drop("text")

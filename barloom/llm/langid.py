@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import LOWER, blocks, fields, map_arrow, read, text_bytes
+from barloom.llm.common import LOWER, aside, blocks, fields, map_arrow, read, text_bytes
 
 #: Bytes of a window.
 WINDOW = 128
@@ -214,9 +214,8 @@ def identified(docs: DataFrame) -> DataFrame:
     network = train(docs, ~held_out(2, 4))
     if network is None:
         return docs
-    kept = predict(docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("lang_pred", "score")}), network)
-    kept = kept.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({f"_own_{c}": c for c in docs.columns}).select(*docs.columns)
+    rows, own_columns = aside(docs, "lang_pred", "score")
+    return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)))
 
 
 def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:

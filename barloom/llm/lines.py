@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import checkpoint, read
+from barloom.llm.common import aside, checkpoint, read
 
 #: Sites from which on a line counts as boilerplate.
 MIN_SITES = 10
@@ -99,6 +99,13 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float =
     )
 
 
+def without_boilerplate(docs: DataFrame) -> DataFrame:
+    """The same documents and columns, without boilerplate lines; ``n_chars``, if there, follows the text."""
+    rows, own_columns = aside(docs, "n_lines", "n_removed", "n_chars_removed")
+    rows = own_columns(dedup_lines(rows))
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
+
+
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: lines, lines removed, and the digest of the text that is left."""
     return dedup_lines(read(spark, sf_dir, "documents")).select(

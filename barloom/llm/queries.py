@@ -8,6 +8,7 @@ from barloom.llm.html import op3_host_consensus
 from barloom.llm.langid import op7_byte_network
 from barloom.llm.licenses import OP9_SQL, op9_license_sentences
 from barloom.llm.lines import OP4_SQL, op4_line_spread
+from barloom.llm.neardup import op6_weighted_sampling
 from barloom.llm.ngram import op8_elias_fano
 from barloom.llm.sentencepiece import op2_unigram_pieces
 from barloom.llm.token_counts import op10_section_tokens
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_host_consensus": op3_host_consensus,
     "op4_line_spread": op4_line_spread,
     "op5_bottom_k": op5_bottom_k,
+    "op6_weighted_sampling": op6_weighted_sampling,
     "op7_byte_network": op7_byte_network,
     "op8_elias_fano": op8_elias_fano,
     "op9_license_sentences": op9_license_sentences,
