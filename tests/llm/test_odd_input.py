@@ -1,0 +1,91 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import os
+
+import corpus_pipeline
+import pytest
+from conftest import CLASHES, ODD, SCHEMA
+from pyspark.sql import functions as F
+
+from barloom.llm.decontaminate import contamination
+from barloom.llm.fingerprints import edited_fingerprints, fingerprint_documents
+from barloom.llm.html import extract_pages
+from barloom.llm.langid import held_out, predict, train
+from barloom.llm.licenses import scan_licenses
+from barloom.llm.lines import dedup_lines
+from barloom.llm.neardup import near_duplicate_classes
+from barloom.llm.ngram import score_documents
+from barloom.llm.sentencepiece import encode_documents
+from barloom.llm.token_counts import section_tokens
+
+OPERATORS = {
+    "contamination": lambda docs: contamination(docs, docs.select(F.col("doc_id").alias("item_id"), "text").limit(0)),
+    "contamination_itself": lambda docs: contamination(docs, docs.where("doc_id < 3 or doc_id is null").select(F.col("doc_id").alias("item_id"), "text")),
+    "pieces": encode_documents,
+    "pages": lambda docs: extract_pages(docs.drop("path").select("*", F.col("source").alias("url"), F.col("text").alias("html")).drop("text")),
+    "lines": dedup_lines,
+    "fingerprints": fingerprint_documents,
+    "edited": edited_fingerprints,
+    "classes": near_duplicate_classes,
+    "language": lambda docs: predict(docs, train(docs, ~held_out(2, 4))),
+    "model": lambda docs: score_documents(docs, lambda: ~held_out(1, 5)),
+    "licenses": scan_licenses,
+    "sections": section_tokens,
+}
+ROW_EACH = set(OPERATORS) - {"sections"}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operator_takes_odd_rows(odd, name):
+    rows = OPERATORS[name](odd).collect()
+    if name in ROW_EACH:
+        assert len(rows) == len(ODD)
+        ids = sorted((r["doc_id"] for r in rows), key=str)
+        assert ids == sorted((r[0] for r in ODD), key=str)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operator_takes_an_empty_table(none, name):
+    assert OPERATORS[name](none).collect() == []
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operator_takes_clashing_columns(odd, clashing, name):
+    rows = OPERATORS[name](clashing)
+    plain = OPERATORS[name](odd)
+    assert {c for c in plain.columns} <= set(rows.columns)
+    own = [c for c in plain.columns if c not in ("score", "base_score")]
+    assert sorted(map(str, rows.select(own).collect())) == sorted(map(str, plain.select(own).collect()))
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stage_takes_odd_rows(spark, odd, none, clashing, tmp_path, stage):
+    function = dict(corpus_pipeline.STAGES)[stage]
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    last = stage == corpus_pipeline.STAGES[-1][0]
+    for docs in (odd, none, clashing):
+        out = function(spark, docs, str(tmp_path))
+        if not last:
+            assert out.columns == docs.columns
+            assert [t for _, t in out.dtypes] == [t for _, t in docs.dtypes]
+        rows = out.collect()
+        assert len(rows) <= len(ODD)
+        if docs is clashing and not last:
+            assert all(r[c] == f"own {c}" for r in rows for c in CLASHES)
+    assert function(spark, none, str(tmp_path)).count() == 0
+
+
+def test_a_null_text_stays_where_nothing_speaks_against_it(spark, odd, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name in ("boilerplate", "near_duplicates", "decontamination"):
+        rows = dict(corpus_pipeline.STAGES)[name](spark, odd, str(tmp_path)).where("text is null").collect()
+        assert len(rows) == 2, name
+
+
+def test_whole_pipeline(spark):
+    sf_dir = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    rows = corpus_pipeline.run(spark, sf_dir)
+    assert rows.columns[:5] == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
+    found = rows.select("doc_id", "round_trip", (F.size("token_ids") == F.col("n_tokens")).alias("whole")).collect()
+    assert found and all(r["round_trip"] and r["whole"] for r in found)
+    assert len({r["doc_id"] for r in found}) == len(found)
