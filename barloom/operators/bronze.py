@@ -36,12 +36,3 @@ def _day_range(first: str, last: str) -> Column:
     before = (y < ly) | ((y == ly) & ((m < lm) | ((m == lm) & (d <= ld))))
     return after & before
 
-
-def new_files(files: DataFrame, processed: DataFrame) -> DataFrame:
-    """Files not yet processed: the anti join behind incremental file reading."""
-    return files.join(processed.select("path"), "path", "left_anti")
-
-
-def data_files(df: DataFrame) -> DataFrame:
-    """The distinct files a file-based DataFrame reads."""
-    return df.select(F.col("_metadata.file_path").alias("path")).distinct()

@@ -9,8 +9,9 @@ from barloom.functions.times import as_utc, epoch_micros, floor_div, width_micro
 from barloom.settings import CANDLE_WIDTH
 
 _GROUP = ("_start", "symbol", "asset_class")
-_KEY_BITS = 63
 _UNIT_MICROS = {"ms": 1_000, "us": 1}
+# Digits of DECIMAL(38), one of them kept for the sum's carry.
+_KEY_DIGITS = 37
 
 
 def rounded(value: str, decimals: int) -> str:
@@ -24,20 +25,34 @@ def rounded(value: str, decimals: int) -> str:
 
 
 # Prices are rounded beforehand (_p): rounding keeps order, so the extremes agree.
-_EXTREMES = {"high": "max(_p)", "low": "min(_p)"}
-_SUMS = {"volume": "sum(volume)", "_notional": "sum(price * volume)", "tick_count": "count(*)"}
+# Ties at one instant give the lowest price as the first and the highest as the last.
+_AGGREGATES = {
+    "open": "min_by(_p, _k)",
+    "high": "max(_p)",
+    "low": "min(_p)",
+    "close": "max_by(_p, _k)",
+    "volume": "sum(volume)",
+    "_notional": "sum(price * volume)",
+    "tick_count": "count(*)",
+}
 
 
-def _aggregates(**named: str) -> list[Column]:
-    return [F.expr(f"{text} AS {name}") for name, text in named.items()]
+def _aggregates() -> list[Column]:
+    return [F.expr(f"{text} AS {name}") for name, text in _AGGREGATES.items()]
 
 
-def _first_and_last(ts: str, low: str, high: str) -> list[Column]:
-    """First and last ``(time, price)``. Ties at one instant go to the lowest price
-    for the first and to the highest for the last."""
-    return _aggregates(
-        _first=f"min(struct({ts} AS t, {low} AS p))", _last=f"max(struct({ts} AS t, {high} AS p))"
-    )
+def _ordered(offset: str, step: int, decimals: int) -> str:
+    """One number in the order of (time within the window, price).
+
+    A minimum by a struct would make Spark sort its input; by a DECIMAL it aggregates by
+    hash. The price only decides between ticks of one instant, so those beyond the digits
+    left for it count as equal there, and keep their own value as open and close.
+    """
+    moments = len(str(step))
+    digits = min(27, _KEY_DIGITS - moments)
+    most = f"1e{digits - 1 - decimals}D"
+    price = f"CAST(least(greatest(_p, -{most}), {most}) * {10**decimals}D AS DECIMAL({digits},0))"
+    return f"CAST({offset} AS DECIMAL({moments},0)) * CAST('1{'0' * digits}' AS DECIMAL({digits + 1},0)) + {price}"
 
 
 def _finish(parts: DataFrame, start: str, decimals: int) -> DataFrame:
@@ -46,10 +61,10 @@ def _finish(parts: DataFrame, start: str, decimals: int) -> DataFrame:
         "symbol",
         "asset_class",
         f"{start} AS window_start",
-        "_first.p AS open",
+        "open",
         "high",
         "low",
-        "_last.p AS close",
+        "close",
         f"{rounded('volume', decimals)} AS volume",
         f"coalesce({rounded(vwap, decimals)}, 0D) AS vwap",
         "tick_count",
@@ -74,47 +89,28 @@ def candles(
     Partial aggregation reduces each task's ticks to one row per candle before the
     only shuffle, so a hot symbol costs no more there than a quiet one.
     """
-    if not ticks.isStreaming:
-        return _batch_candles(ticks, width, ts, decimals, unit)
-    if watermark:
-        ticks = ticks.withWatermark(ts, watermark)
-    grouped = (
-        ticks.withColumn("_p", F.expr(rounded("price", decimals)))
-        .groupBy(F.window(ts, width).alias("_w"), "symbol", "asset_class")
-        .agg(*_first_and_last(ts, "_p", "_p"), *_aggregates(**_EXTREMES, **_SUMS))
-        .withColumn("_start", F.col("_w.start"))
-    )
-    return _finish(grouped.withColumn("_start", as_utc(grouped, "_start")), "_start", decimals)
-
-
-def _batch_candles(ticks: DataFrame, width: str, ts: str, decimals: int, unit: str) -> DataFrame:
-    """A minimum over a struct makes Spark sort its input. Where the time within the
-    window and the rounded price fit into one BIGINT, a minimum over that number has
-    the same order and aggregates by hash, several times faster.
-
-    Ticks whose price does not fit are aggregated by the struct, and both halves are
-    joined. Their filter reaches the Parquet statistics, and once that half turns out
-    empty the adaptive planner drops it together with the join.
-    """
     per_unit = _UNIT_MICROS[unit]
     step = width_micros(width) // per_unit
-    price_bits = _KEY_BITS - step.bit_length()
-    limit = 2**price_bits // 10**decimals
-    odd = f"symbol IS NULL OR price IS NULL OR price < 0 OR price >= {limit}D"
-    flat = (
-        ticks.filter(F.col(ts).isNotNull())
-        .select("symbol", "asset_class", "price", "volume", _in_units(ticks, ts, unit).alias("_t"))
+    if ticks.isStreaming:
+        if watermark:
+            ticks = ticks.withWatermark(ts, watermark)
+        moment = floor_div(epoch_micros(ticks, ts), per_unit)
+        keys = [F.window(ts, width).alias("_w"), "symbol", "asset_class"]
+    else:
+        ticks = ticks.filter(F.col(ts).isNotNull())
+        moment = _in_units(ticks, ts, unit)
+        keys = list(_GROUP)
+    priced = (
+        ticks.select(*([ts] if ticks.isStreaming else []), "symbol", "asset_class", "price", "volume", moment.alias("_t"))
         .selectExpr("*", f"_t - pmod(_t, {step}) AS _start", f"{rounded('price', decimals)} AS _p")
+        .selectExpr("*", f"{_ordered(f'pmod(_t, {step})', step, decimals)} AS _k")
     )
-    packed = _packed_parts(
-        flat.filter(f"symbol IS NOT NULL AND price >= 0 AND price < {limit}D"),
-        step,
-        price_bits,
-        decimals,
-    )
-    ordered = _ordered_parts(flat.filter(odd))
+    grouped = priced.groupBy(*keys).agg(*_aggregates())
+    if ticks.isStreaming:
+        grouped = grouped.withColumn("_start", F.col("_w.start"))
+        return _finish(grouped.withColumn("_start", as_utc(grouped, "_start")), "_start", decimals)
     start = f"timestampadd(MICROSECOND, _start * {per_unit}, timestamp_ntz'1970-01-01 00:00:00')"
-    return _finish(_combine(packed, ordered), start, decimals)
+    return _finish(grouped, start, decimals)
 
 
 def _in_units(ticks: DataFrame, ts: str, unit: str) -> Column:
@@ -127,51 +123,6 @@ def _in_units(ticks: DataFrame, ts: str, unit: str) -> Column:
     return F.when(micros % 1000 != 0, finer.cast("bigint")).otherwise(floor_div(micros, 1000))
 
 
-def _packed_parts(flat: DataFrame, step: int, price_bits: int, decimals: int) -> DataFrame:
-    scale = f"{10**decimals}D"
-    key = f"shiftleft(pmod(_t, {step}), {price_bits}) + floor(_p * {scale} + 0.5D)"
-
-    def moment(name: str) -> str:
-        price = f"({name} & {2**price_bits - 1}L) / {scale}"
-        return f"struct(_start + shiftright({name}, {price_bits}) AS t, {price} AS p) AS {name}"
-
-    return (
-        flat.selectExpr("*", f"{key} AS _k")
-        .groupBy(*_GROUP)
-        .agg(*_aggregates(_first="min(_k)", _last="max(_k)", **_EXTREMES, **_SUMS))
-        .selectExpr(*_GROUP, moment("_first"), moment("_last"), *_EXTREMES, *_SUMS)
-    )
-
-
-def _ordered_parts(flat: DataFrame) -> DataFrame:
-    """Ticks of one instant first become one row. That step aggregates by hash, and
-    only so does the adaptive planner notice that there are none."""
-    instants = flat.groupBy(*_GROUP, "_t").agg(
-        *_aggregates(_high="max(_p)", _low="min(_p)", **_SUMS)
-    )
-    return instants.groupBy(*_GROUP).agg(
-        *_first_and_last("_t", "_low", "_high"),
-        *_aggregates(high="max(_high)", low="min(_low)", **{c: f"sum({c})" for c in _SUMS}),
-    )
-
-
-def _combine(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Candles whose ticks were aggregated in two parts. Plain equality keeps the
-    partitioning both aggregates already have; ticks without a symbol are all in one
-    part, so their NULL keys need no match."""
-    joined = a.alias("a").join(
-        b.alias("b"), F.expr(" AND ".join(f"a.{k} = b.{k}" for k in _GROUP)), "full_outer"
-    )
-    lesser = [f"least(a.{c}, b.{c}) AS {c}" for c in ("_first", "low")]
-    greater = [f"greatest(a.{c}, b.{c}) AS {c}" for c in ("_last", "high")]
-    sums = [
-        f"coalesce(a.{c} + b.{c}, a.{c}, b.{c}) AS {c}"
-        for c in _SUMS
-    ]
-    keys = [f"coalesce(a.{k}, b.{k}) AS {k}" for k in _GROUP]
-    return joined.selectExpr(*keys, *lesser, *greater, *sums)
-
-
 def distinct_symbols(bars: DataFrame) -> DataFrame:
     """Symbols and candles per window."""
     return bars.groupBy("window_start").agg(

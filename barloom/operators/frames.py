@@ -23,19 +23,25 @@ def _plausible(ms: Column) -> Column:
     return F.coalesce(ms.between(MIN_MS, MAX_MS), F.lit(False))
 
 
-def _event_id(kind: str) -> Column:
-    if kind == "uuid":
+def _event_id(kind: str, columns: list[str]) -> Column:
+    if kind == "record" and "record" in columns:
+        # The record's place in its source: equal records elsewhere are other trades.
+        return F.concat_ws("-", F.md5("_record"), F.col("_pos").cast("string"))
+    if kind in ("record", "uuid"):
         return F.expr("uuid()")
     if kind == "payload":
         # Stable under replay: the same element of the same frame keeps its id.
         return F.concat_ws("-", F.md5("_value"), F.col("_pos").cast("string"))
-    raise ValueError(f"event_id must be 'uuid' or 'payload', not {kind!r}")
+    raise ValueError(f"event_id must be 'record', 'uuid' or 'payload', not {kind!r}")
 
 
-def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None = None) -> DataFrame:
+def mark_trades(frames: DataFrame, event_id: str = "record", now: Column | None = None) -> DataFrame:
     """One row per trade element, with ``reject_reason`` NULL when it is sound.
 
-    ``frames`` has a ``value`` column (text or bytes). Heartbeats and other frame
+    ``frames`` has a ``value`` column (text or bytes). With a ``record`` column, the place
+    of the record in its source (topic, partition and offset, or file and line), ids stay
+    the same when it is delivered again; otherwise each element gets an id of its own.
+    Heartbeats and other frame
     types vanish. A frame that is not JSON gives a single rejected row; a malformed
     element is rejected alone, without its neighbours. ``raw`` keeps the rejected
     element, or the whole frame where there is no element to show.
@@ -43,6 +49,7 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
     value = F.col("value").cast("string")
     decoded = frames.select(
         value.alias("_value"),
+        *([F.col("record").cast("string").alias("_record")] if "record" in frames.columns else []),
         F.from_json(value, FRAME_DDL, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_f"),
     )
     element = decoded.schema["_f"].dataType["data"].dataType.elementType
@@ -54,15 +61,19 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
     one_by_one = F.transform(
         "_texts.data", lambda x: F.when(x.startswith("{"), F.from_json(x, element))
     )
-    lost = F.col("_texts.data").isNull() | F.coalesce(F.col("_texts.type") != "trade", F.lit(True))
-    unreadable = F.when(broken, lost).otherwise(F.lit(False))
+    # The type alone can be read where the data has another shape; other types vanish.
+    kind = F.coalesce(F.col("_texts.type"), F.get_json_object("_value", "$.type"))
+    other = F.coalesce(kind != "trade", F.lit(False))
+    unreadable = F.when(broken, F.col("_texts.data").isNull() & ~other | kind.isNull()).otherwise(F.lit(False))
     elements = (
         F.when(unreadable, F.array(F.lit(None).cast(element)))
+        .when(broken & other, F.lit(None))
         .when(broken, one_by_one)
         .when(F.col("_f.type") == "trade", F.col("_f.data"))
     )
     exploded = decoded.select(
         "_value",
+        *(["_record"] if "record" in frames.columns else []),
         unreadable.alias("_unreadable"),
         F.posexplode(elements).alias("_pos", "_e"),
     )
@@ -83,7 +94,7 @@ def mark_trades(frames: DataFrame, event_id: str = "uuid", now: Column | None =
     )
     whole_frame = F.col("_unreadable") | F.col("_e").isNull()
     return typed.withColumn("reject_reason", reason).select(
-        _event_id(event_id).alias("event_id"),
+        _event_id(event_id, frames.columns).alias("event_id"),
         F.col("_e.s").alias("symbol"),
         "price",
         "volume",
@@ -110,7 +121,7 @@ def quarantined(marked: DataFrame) -> DataFrame:
 
 
 def parse_trades(
-    frames: DataFrame, event_id: str = "uuid", now: Column | None = None
+    frames: DataFrame, event_id: str = "record", now: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Frames to ``(trades, quarantine)``."""
     marked = mark_trades(frames, event_id, now)

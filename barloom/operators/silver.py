@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions.symbols import asset_class
 from barloom.functions.times import ms_to_instant
-from barloom.schemas import SILVER
-from barloom.settings import WATERMARK
+from barloom.schemas import SILVER, SILVER_PARTITIONS, SILVER_STORED
+from barloom.sources.paths import exists
 
 
 # NaN orders above infinity in Spark, so the upper bound is what turns it away.
@@ -53,19 +53,15 @@ def dedupe(
     ticks: DataFrame,
     scope: str = "global",
     order: tuple[str, ...] = ("ingestion_timestamp",),
-    delay: str = WATERMARK,
 ) -> DataFrame:
     """One tick per ``event_id``.
 
     ``global`` covers the whole batch DataFrame and keeps the earliest by ``order``.
-    ``watermark`` is the streaming form: it remembers ids for ``delay`` of event time
-    across micro-batches.
-    ``none`` leaves redelivered ticks in place.
+    ``none`` leaves redelivered ticks in place. Across micro-batches :func:`not_stored`
+    does the same: a watermark would discard every late tick, copy or not.
     """
     if scope == "none":
         return ticks
-    if scope == "watermark":
-        return ticks.withWatermark("trade_time", delay).dropDuplicatesWithinWatermark(["event_id"])
     if scope == "global":
         return first_per_key(ticks, ["event_id"], list(order))
     raise ValueError(f"unknown dedupe scope {scope!r}")
@@ -76,10 +72,26 @@ def enforce(ticks: DataFrame) -> DataFrame:
     return ticks.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER))
 
 
-def to_silver(bronze: DataFrame, dedup: str = "global", delay: str = WATERMARK) -> DataFrame:
+def not_stored(silver: DataFrame, path: str) -> DataFrame:
+    """The ticks whose id the stored layer lacks, in the directories they belong to.
+
+    Only those directories are read, and of them only the ids. The driver learns the
+    directories of one batch, never rows.
+    """
+    spark = silver.sparkSession
+    parts = [F.col(c) for c in SILVER_PARTITIONS]
+    name = F.concat_ws("/", *parts)
+    touched = [r[0] for r in silver.select(name).distinct().collect()]
+    if not touched or not exists(spark, path):
+        return silver
+    stored = spark.read.schema(SILVER_STORED).parquet(path).filter(name.isin(touched))
+    return silver.join(stored.select("event_id"), "event_id", "left_anti").select(*silver.columns)
+
+
+def to_silver(bronze: DataFrame, dedup: str = "global") -> DataFrame:
     """Bronze to silver. Filtering comes first, so rejected rows never shuffle."""
     ticks = enrich(clean(bronze.drop("trade_conditions")))
-    return enforce(dedupe(ticks, dedup, delay=delay))
+    return enforce(dedupe(ticks, dedup))
 
 
 def quality_counters(bronze: DataFrame) -> DataFrame:

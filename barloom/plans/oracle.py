@@ -26,6 +26,9 @@ v AS (
   FROM t WHERE price > 0 AND volume > 0 AND NOT isnan(price) AND NOT isnan(volume))
 """
 
+# m: the trades as often as their frames stand; v2: those of separate records, valid.
+_TIMES = """, m AS (SELECT t.* FROM t, range(1 + (n % 10 = 0)::INT + (n % 7 = 1)::INT))"""
+
 _WATCH = """
 w AS (SELECT * FROM (VALUES ('AAPL'), ('MSFT'), ('GOOGL'), ('BINANCE:BTCUSDT'),
                             ('BINANCE:ETHUSDT')) AS x(symbol))
@@ -85,14 +88,26 @@ ORACLE: dict[str, str] = {
         """ SELECT window_start, count(DISTINCT symbol) AS n_symbols, count(*) AS n_candles
             FROM b GROUP BY window_start""",
     ),
-    "frame_parse": f"""{_TICKS}
+    "candles_high_price": f"""{_TICKS},
+        p AS (SELECT symbol, asset_class, volume, source_timestamp // 600000 * 600000 AS ms,
+                     price * CASE n % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 ELSE 1000000000 END AS price
+              FROM v)
+        SELECT symbol, asset_class, date_trunc('hour', make_timestamp(ms * 1000))::TIMESTAMP AS window_start,
+               round(arg_min(price, (ms, price)), 2) AS open, round(max(price), 2) AS high,
+               round(min(price), 2) AS low, round(arg_max(price, (ms, price)), 2) AS close,
+               sum(volume) AS volume, count(*) AS tick_count
+        FROM p GROUP BY ALL""",
+    "frame_parse": f"""{_TICKS}{_TIMES}
         SELECT symbol, price, volume, source_timestamp,
                CASE WHEN n % 7 = 0 OR n % 5 = 0 THEN '' ELSE event_type END AS conditions
-        FROM t""",
-    "malformed_quarantine": f"""{_TICKS}
-        SELECT 'bad_price' AS reject_reason, symbol AS subject FROM t WHERE n % 3 = 0
-        UNION ALL
-        SELECT 'bad_json', 'not json ' || event_id FROM t WHERE n % 11 = 0""",
+        FROM m""",
+    "malformed_quarantine": f"""{_TICKS}{_TIMES}
+        SELECT 'bad_price' AS reject_reason, symbol AS subject FROM m WHERE n % 3 = 0
+        UNION ALL SELECT 'bad_symbol', '{{"p":"1","v":"1","t":"1"}}' FROM m WHERE n % 13 = 0
+        UNION ALL SELECT 'bad_volume', symbol FROM m WHERE n % 17 = 0
+        UNION ALL SELECT 'bad_time', symbol FROM m WHERE n % 19 = 0
+        UNION ALL SELECT 'bad_element', NULL FROM m WHERE n % 23 = 0
+        UNION ALL SELECT 'bad_json', 'not json ' || event_id FROM t WHERE n % 11 = 0""",
     "topic_encode": f"""{_TICKS}
         SELECT symbol AS topic_key, event_id, symbol, price, volume, source_timestamp FROM t""",
     "topic_decode": f"""{_TICKS},
@@ -133,11 +148,9 @@ ORACLE: dict[str, str] = {
                CASE WHEN source_timestamp + CASE WHEN n % 9 = 0 THEN 86400000 ELSE 0 END
                          > ingestion_timestamp + 5000 THEN 'ahead' ELSE 'kept' END AS outcome
         FROM t""",
-    "incremental_files_anti": f"""{_TICKS},
-        f AS (SELECT DISTINCT strftime(trade_time, '%Y/%m/%d') AS path FROM t)
-        SELECT path FROM f WHERE NOT EXISTS (
-            SELECT 1 FROM f AS p WHERE p.path <= '2024/01/15' AND p.path = f.path)""",
-    "asof_load": _with_bars("hour", " SELECT * FROM b", where="day(trade_time) <= 15"),
+    "silver_late": f"""{_TICKS}
+        SELECT event_id, symbol, price, volume, source_timestamp, asset_class, {_DATE} FROM v""",
+    "asof_load": _with_bars("hour", " SELECT * FROM b", where="day(trade_time) <= 20"),
     "high_watermarks": _with_bars(
         "minute",
         """ SELECT w.symbol, max(b.window_start) AS last_window
@@ -250,6 +263,16 @@ ORACLE: dict[str, str] = {
         " SELECT * FROM b",
         where="CAST(trade_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24'",
     ),
-    "stream_candles": _CANDLES_1M,
-    "medallion": _CANDLES_1M,
+    "stream_candles": _with_bars("hour", " SELECT * FROM b"),
+    "medallion": f"""{_TICKS.replace("v AS (", "v1 AS (")},
+        v AS (SELECT * FROM v1 UNION ALL SELECT * FROM v1 WHERE n % 10 = 0),
+        b AS ({_bars("minute")}) SELECT * FROM b""",
+    "medallion_rejects": f"""{_TICKS}{_TIMES}
+        SELECT reject_reason, count(*) AS n FROM (
+            SELECT unnest(list_filter([
+                CASE WHEN n % 3 = 0 THEN 'bad_price' END, CASE WHEN n % 13 = 0 THEN 'bad_symbol' END,
+                CASE WHEN n % 17 = 0 THEN 'bad_volume' END, CASE WHEN n % 19 = 0 THEN 'bad_time' END,
+                CASE WHEN n % 23 = 0 THEN 'bad_element' END], lambda x: x IS NOT NULL)) AS reject_reason FROM m
+            UNION ALL SELECT 'bad_json' FROM t WHERE n % 11 = 0)
+        GROUP BY reject_reason""",
 }

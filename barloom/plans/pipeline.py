@@ -2,39 +2,59 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom import settings
-from barloom.schemas import OHLCV_1M
-from barloom.sources.mart import Mart
+from barloom.operators.bronze import between_dates
+from barloom.operators.candles import candles
+from barloom.operators.frames import accepted, mark_records, mark_trades, only_watched, quarantined
+from barloom.operators.merge import LIVE
+from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, SILVER_STORED
+from barloom.sources.mart import Mart, Sink
 from barloom.streaming import jobs
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
 def minute_mart(spark: SparkSession, root: str, grain: str = "hour") -> Mart:
     return Mart(spark, f"{root}/ohlcv_1m", OHLCV_1M, grain)
 
 
 def start_live(
-    frames: DataFrame, root: str, mart: Mart, topic: bool = False
+    frames: DataFrame,
+    root: str,
+    mart: Sink,
+    topic: bool = False,
+    watchlist: DataFrame | list[str] | None = None,
+    skip_corrupt: bool = False,
 ) -> list[StreamingQuery]:
     """Start all hops at their usual intervals; the caller awaits or stops them."""
     spark = frames.sparkSession
     paths = _paths(root)
-    mart.ensure()
+    if isinstance(mart, Mart):
+        mart.ensure()
     return [
         jobs.start_bronze(
-            frames, paths["bronze"], paths["ck_bronze"], settings.BRONZE_TRIGGER, topic=topic
+            frames,
+            paths["bronze"],
+            paths["ck_bronze"],
+            settings.BRONZE_TRIGGER,
+            topic=topic,
+            watchlist=watchlist,
         ),
         jobs.start_quarantine(
             frames, paths["rejects"], paths["ck_rejects"], settings.BRONZE_TRIGGER, topic
         ),
         jobs.start_silver(
-            jobs.stream_bronze(spark, paths["bronze"]),
+            jobs.stream_bronze(spark, paths["bronze"], skip_corrupt=skip_corrupt),
             paths["silver"],
             paths["ck_silver"],
             settings.SILVER_TRIGGER,
-            files=settings.SILVER_FILES,
         ),
         jobs.start_gold(
             jobs.stream_silver(spark, paths["silver"]),
@@ -46,21 +66,38 @@ def start_live(
 
 
 def backfill(
-    frames: DataFrame, root: str, mart: Mart, event_id: str = "payload", topic: bool = False
+    frames: DataFrame,
+    root: str,
+    mart: Sink,
+    topic: bool = False,
+    watchlist: DataFrame | list[str] | None = None,
+    days_at_once: int = 31,
 ) -> None:
-    """Run what is there through all hops, one after the other, and stop.
+    """Run a batch of frames through all layers, and stop.
 
-    Ids come from the payload, so frames delivered again are recognised.
+    Days are cleaned and aggregated ``days_at_once`` together, so the work at hand has a bound.
+    Without streaming state there is no watermark, and no tick is late. What is refused goes
+    to the quarantine, as in the live path.
     """
     spark = frames.sparkSession
     paths = _paths(root)
-    jobs.start_bronze(
-        frames, paths["bronze"], paths["ck_bronze"], event_id=event_id, topic=topic
-    ).awaitTermination()
-    bronze = jobs.stream_bronze(spark, paths["bronze"])
-    jobs.start_silver(bronze, paths["silver"], paths["ck_silver"]).awaitTermination()
-    silver = jobs.stream_silver(spark, paths["silver"])
-    jobs.start_gold(silver, mart, paths["ck_gold"]).awaitTermination()
+    marked = mark_records(frames) if topic else mark_trades(frames)
+    quarantined(marked).write.mode("append").partitionBy("reject_reason").parquet(paths["rejects"])
+    trades = accepted(marked)
+    if watchlist is not None:
+        trades = only_watched(trades, watchlist)
+    jobs.write_bronze(trades, paths["bronze"])
+    ends = trades.agg(F.min("source_timestamp"), F.max("source_timestamp")).first()
+    if ends[0] is None:
+        return
+    bronze = spark.read.schema(BRONZE).parquet(paths["bronze"])
+    span = [f"{EPOCH + timedelta(milliseconds=ms):%Y-%m-%d}" for ms in ends]
+    days = sorted("-".join(r) for r in between_dates(bronze, *span).select(*DATE_PARTS).distinct().collect())
+    for i in range(0, len(days), days_at_once):
+        first, last = days[i], days[min(i + days_at_once, len(days)) - 1]
+        jobs.append_silver(between_dates(bronze, first, last), paths["silver"])
+        silver = spark.read.schema(SILVER_STORED).parquet(paths["silver"])
+        mart.merge(candles(between_dates(silver, first, last)), LIVE)
 
 
 def _paths(root: str) -> dict[str, str]:

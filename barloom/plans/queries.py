@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barloom.functions.times import ms_to_utc
 from barloom.operators import bars as B
 from barloom.operators import frames as FR
-from barloom.operators.bronze import new_files, partition_counts, to_bronze
+from barloom.operators.bronze import partition_counts, to_bronze
 from barloom.operators.candles import candles, distinct_symbols
 from barloom.operators.lookup import high_watermark, watchlist_frame
 from barloom.operators.merge import DAILY, HEAL, LIVE, merge_upsert
@@ -29,7 +29,8 @@ from barloom.plans.monitor import flow_rate, gaps, latency, pulse
 from barloom.plans.pipeline import backfill, minute_mart
 from barloom.plans.replay import as_of, register_views, replay
 from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, OHLCV_DAILY, SILVER, SILVER_PARTITIONS
-from barloom.session import scratch_dir
+from barloom.session import scratch_dir, stored
+from barloom.sources.connectors import read_silver
 from barloom.sources.mart import Mart
 from barloom.streaming import jobs
 
@@ -41,6 +42,8 @@ DECIMALS = 4
 # The moments and symbols the queries are asked about.
 NOW = datetime(2024, 1, 31)
 HEAL_NOW = datetime(2024, 1, 28, 12)
+# 2024-01-10 00:30 and 2024-01-20 00:30 in epoch milliseconds.
+CUTS = (1_704_846_600_000, 1_705_710_600_000)
 LOADED_UNTIL = "2024-01-25 09:30:00"
 DAYS_LOADED = "2024-01-20"
 WATCHED = ["AAPL", "MSFT", "GOOGL", "BINANCE:BTCUSDT", "BINANCE:ETHUSDT"]
@@ -97,6 +100,16 @@ def candles_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(spark, sf_dir, "1 day")
 
 
+def candles_high_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles of prices up to 5e11, ten minutes of ticks at one moment each."""
+    n = F.col("event_id").cast("bigint") % 4
+    factor = F.when(n == 0, 1).when(n == 1, 1000).when(n == 2, 1_000_000).otherwise(1_000_000_000)
+    ms = F.col("source_timestamp")
+    ticks = clean(T.trades(spark, sf_dir)).withColumns({"price": F.col("price") * factor, "source_timestamp": ms - F.pmod(ms, F.lit(600_000))})
+    bars = candles(T.timed(ticks), "1 hour", ts="source_timestamp", decimals=2)
+    return bars.drop("vwap")
+
+
 def distinct_symbols_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_symbols(_bars(spark, sf_dir, "1 hour"))
 
@@ -117,7 +130,8 @@ def frame_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = FR.parse_trades(T.frames_from(T.events(spark, sf_dir)), "payload")
-    return bad.select("reject_reason", F.coalesce("symbol", "raw").alias("subject"))
+    subject = F.when(F.col("reject_reason") != "bad_element", F.coalesce("symbol", "raw"))
+    return bad.select("reject_reason", subject.alias("subject"))
 
 
 def topic_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,21 +224,28 @@ def future_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incremental_files_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Date partitions not among those already processed."""
-    parts = to_bronze(T.trades(spark, sf_dir)).select(
-        F.concat_ws("/", *DATE_PARTS).alias("path")
-    )
-    files = parts.distinct()
-    return new_files(files, files.filter("path <= '2024/01/15'"))
+def silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer of three files, each over the whole time, with redeliveries."""
+    root = scratch_dir(spark, "late")
+    ticks = to_bronze(T.trades(spark, sf_dir))
+    n = F.col("event_id").cast("bigint")
+    again = F.col("event_id").cast("bigint") % 10 == 0
+    for i, part in enumerate((n % 3 == 0, (n % 3 == 2) | (again & (n % 3 == 0)), (n % 3 == 1) | again)):
+        ticks.filter(part).coalesce(1).write.parquet(f"{root}/in/{i}")
+    source = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", 1)
+    source = source.option("recursiveFileLookup", "true").parquet(f"{root}/in")
+    jobs.start_silver(source, f"{root}/silver", f"{root}/ck").awaitTermination()
+    layer = spark.read.schema(SILVER).parquet(f"{root}/silver")
+    return layer.select("event_id", "symbol", "price", "volume", "source_timestamp", *SILVER_PARTITIONS)
 
 
 def asof_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candles as they stood after the load of the fifteenth day."""
-    ticks = clean(T.timed(T.trades(spark, sf_dir))).withColumn(
-        "load_id", F.col("day").cast("int")
-    )
-    return _comparable(candles(as_of(ticks, 15), "1 hour"))
+    """Candles as they stood after the second of three loads into the clean layer."""
+    path = scratch_dir(spark, "loads")
+    bronze = to_bronze(T.trades(spark, sf_dir))
+    for load, (first, last) in enumerate((("01", "10"), ("11", "20"), ("21", "31")), 1):
+        jobs.append_silver(bronze.filter(F.col("day").between(first, last)), path, load)
+    return _comparable(candles(as_of(read_silver(spark, path), 2), "1 hour"))
 
 
 # -- keyed tables --------------------------------------------------------------
@@ -244,36 +265,36 @@ def merge_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The stored asset class is marked, to show that an update leaves it alone.
     """
-    bars = _bars(spark, sf_dir, "1 hour")
-    stored = _until(bars, "2024-01-16 00:00:00").withColumn("asset_class", F.lit("Stored"))
+    bars = stored(_bars(spark, sf_dir, "1 hour"), "candles")
+    before = _until(bars, "2024-01-16 00:00:00").withColumn("asset_class", F.lit("Stored"))
     fresh = bars.filter(
         F.col("window_start") >= F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
     ).withColumns({"volume": F.col("volume") * 2, "tick_count": F.col("tick_count") * 2})
-    return merge_upsert(stored, fresh, LIVE, unique=True)
+    return merge_upsert(before, fresh, LIVE, unique=True)
 
 
 def merge_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = _bars(spark, sf_dir, "1 day")
-    stored = _until(days, DAYS_LOADED).select(
+    days = stored(_bars(spark, sf_dir, "1 day"), "candles")
+    before = _until(days, DAYS_LOADED).select(
         "symbol", "window_start", *(F.lit(0.0).alias(c) for c in B.OHLCV)
     )
-    fresh = daily_increment(_vendor_bars(days, "Date"), stored, _watchlist(spark), NOW)
-    return merge_upsert(stored, fresh, DAILY)
+    fresh = daily_increment(_vendor_bars(days, "Date"), before, _watchlist(spark), NOW)
+    return merge_upsert(before, fresh, DAILY)
 
 
 def merge_heal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = candles_1m(spark, sf_dir)
-    stored = _until(minutes, LOADED_UNTIL)
-    fresh = heal_increment(_vendor_bars(minutes, "Datetime"), stored, _watchlist(spark), HEAL_NOW)
-    return merge_upsert(stored, fresh, HEAL)
+    minutes = stored(candles_1m(spark, sf_dir), "candles")
+    before = _until(minutes, LOADED_UNTIL)
+    fresh = heal_increment(_vendor_bars(minutes, "Datetime"), before, _watchlist(spark), HEAL_NOW)
+    return merge_upsert(before, fresh, HEAL)
 
 
 def heal_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holes inside the stored bars, patched: every seventh minute is missing."""
-    minutes = candles_1m(spark, sf_dir)
-    stored = minutes.filter(F.minute("window_start") % 7 != 0)
+    minutes = stored(candles_1m(spark, sf_dir), "candles")
+    before = minutes.filter(F.minute("window_start") % 7 != 0)
     return heal_increment(
-        _vendor_bars(minutes, "Datetime"), stored, _watchlist(spark), HEAL_NOW, mode="gaps"
+        _vendor_bars(minutes, "Datetime"), before, _watchlist(spark), HEAL_NOW, mode="gaps"
     )
 
 
@@ -286,7 +307,7 @@ def raw_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily job on a stored table: first load, then an increment."""
-    days = _bars(spark, sf_dir, "1 day")
+    days = stored(_bars(spark, sf_dir, "1 day"), "candles")
     path = scratch_dir(spark, "daily")
     mart = Mart(spark, f"{path}/ohlcv_daily", OHLCV_DAILY, grain="month")
     watchlist = _watchlist(spark)
@@ -305,7 +326,7 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def heal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The healer on a stored table."""
-    minutes = candles_1m(spark, sf_dir)
+    minutes = stored(candles_1m(spark, sf_dir), "candles")
     mart = Mart(spark, scratch_dir(spark, "minutes"), OHLCV_1M, grain="day")
     mart.merge(_until(minutes, LOADED_UNTIL), LIVE, now=NOW)
     heal_minutes(_vendor_bars(minutes, "Datetime"), mart, _watchlist(spark), HEAL_NOW)
@@ -313,10 +334,12 @@ def heal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Free-form SQL over the stored candles."""
+    """Free-form SQL over the stored candles, through views that outlive a merge."""
     mart = Mart(spark, scratch_dir(spark, "adhoc"), OHLCV_1M, grain="day")
-    mart.merge(candles_1m(spark, sf_dir), LIVE, now=NOW)
+    bars = stored(candles_1m(spark, sf_dir), "candles")
+    mart.merge(_until(bars, LOADED_UNTIL), LIVE, now=NOW)
     register_views(mart)
+    mart.merge(bars, LIVE, now=NOW)
     return spark.sql(
         """
         SELECT symbol, CAST(window_start AS DATE) AS trade_day,
@@ -359,24 +382,35 @@ def replay_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream through the watermarked aggregation into a stored table."""
+    """Hourly candles of four files in a stream: two cuts go through an hour, whose candles
+    are written again, and the last file holds ticks that come too late."""
     root = scratch_dir(spark, "stream")
-    mart = Mart(spark, f"{root}/ohlcv_1m", OHLCV_1M, grain="day")
-    ticks = to_silver(to_bronze(_event_stream(spark, sf_dir)), dedup="none")
-    jobs.start_gold(ticks, mart, f"{root}/ck").awaitTermination()
+    ticks = T.trades(spark, sf_dir)
+    cuts = [F.lit(0), *(F.lit(ms) for ms in CUTS), F.lit(2**62)]
+    parts = [ticks.filter(F.col("source_timestamp").between(a, b - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    late = ticks.filter(F.col("source_timestamp") < CUTS[0] - 86_400_000).withColumn("price", F.lit(1e6))
+    for i, part in enumerate([*parts, late]):
+        to_silver(to_bronze(part), "none").coalesce(1).write.parquet(f"{root}/in/{i}")
+    source = spark.readStream.schema(SILVER).option("maxFilesPerTrigger", 1)
+    source = source.option("recursiveFileLookup", "true").parquet(f"{root}/in")
+    mart = Mart(spark, f"{root}/ohlcv_1h", OHLCV_1M, grain="day")
+    jobs.start_gold(source, mart, f"{root}/ck", width="1 hour").awaitTermination()
     return _comparable(mart.read().drop("created_at"))
 
 
 def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames to bronze to silver to candles, three streams joined by storage."""
+    """Frames to bronze to silver to candles, as a backfill."""
     root = scratch_dir(spark, "medallion")
     mart = minute_mart(spark, root, "day")
-    backfill(T.frames_from(T.event_stream(spark, sf_dir)), root, mart)
+    backfill(T.frames_from(T.events(spark, sf_dir)), root, mart)
     return _comparable(mart.read().drop("created_at"))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.trades_from(T.event_stream(spark, sf_dir))
+def medallion_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the backfill refuses, by reason."""
+    root = scratch_dir(spark, "medallion")
+    backfill(T.frames_from(T.events(spark, sf_dir)), root, minute_mart(spark, root, "day"), watchlist=[])
+    return spark.read.parquet(f"{root}/rejects").groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
 QUERIES: dict[str, Query] = {
@@ -385,6 +419,7 @@ QUERIES: dict[str, Query] = {
         candles_1m,
         candles_1h,
         candles_1d,
+        candles_high_price,
         distinct_symbols_per_window,
         frame_parse,
         malformed_quarantine,
@@ -398,7 +433,7 @@ QUERIES: dict[str, Query] = {
         silver_scan,
         quality_counts,
         future_ticks,
-        incremental_files_anti,
+        silver_late,
         asof_load,
         high_watermarks,
         symbol_map,
@@ -417,5 +452,6 @@ QUERIES: dict[str, Query] = {
         replay_day_range,
         stream_candles,
         medallion,
+        medallion_rejects,
     )
 }

@@ -26,10 +26,10 @@ def replay(
 
 
 def register_views(minutes: Mart, days: Mart | None = None) -> None:
-    """Temporary views ``ohlcv_1m`` and ``ohlcv_daily`` for ad-hoc SQL."""
-    minutes.read().createOrReplaceTempView("ohlcv_1m")
+    """Temporary views ``ohlcv_1m`` and ``ohlcv_daily`` for ad-hoc SQL, kept up to date."""
+    minutes.view("ohlcv_1m")
     if days is not None:
-        days.read().createOrReplaceTempView("ohlcv_daily")
+        days.view("ohlcv_daily")
 
 
 def as_of(ticks: DataFrame, load: int, column: str = "load_id") -> DataFrame:

@@ -75,11 +75,14 @@ def timed(ticks: DataFrame) -> DataFrame:
 
 
 def frames_from(events_df: DataFrame) -> DataFrame:
-    """Events to feed frames, one shuffle-free frame per event.
-
-    Every third frame carries a second element without a price, every fourth quotes
-    its numbers, every seventh element has no conditions, and each eleventh event
-    also yields a heartbeat and a line that is not JSON.
+    """Events to feed frames with their place (``record``), one shuffle-free frame per event.
+
+    Every fourth frame quotes its numbers, every seventh element has no conditions. Some
+    frames carry a second element that is refused: without a price (every third), without a
+    symbol (13th), with a volume that is no number (17th), without a time (19th), or that is
+    no object (23rd). Each eleventh event also yields a heartbeat, another type of frame and
+    a line that is not JSON. Every tenth frame comes once more as a record of its own, and
+    each seventh but one is delivered again.
     """
     t = trades_from(events_df).withColumn("_n", F.expr("CAST(event_id AS BIGINT)"))
 
@@ -91,13 +94,29 @@ def frames_from(events_df: DataFrame) -> DataFrame:
         f"""{number("source_timestamp")}, ',"v":', {number("volume")}, """
         """if(_n % 7 = 0, '', concat(',"c":', to_json(trade_conditions))), '}')"""
     )
-    bad = """if(_n % 3 = 0, concat(',{"s":"', symbol, '","t":1,"v":1}'), '')"""
+    bad = ", ".join(
+        f"""if(_n % {every} = 0, concat(',', {element}), '')"""
+        for every, element in (
+            (3, """'{"s":"', symbol, '","t":1,"v":1}'"""),
+            (13, """'{"p":1,"t":1,"v":1}'"""),
+            (17, """'{"s":"', symbol, '","p":1,"t":1,"v":"x"}'"""),
+            (19, """'{"s":"', symbol, '","p":1,"t":null,"v":1}'"""),
+            (23, "'5'"),
+        )
+    )
     frame = f"""concat('{{"type":"trade","data":[', {good}, {bad}, ']}}')"""
-    lines = (
-        f"""if(_n % 11 = 0, array({frame}, '{{"type":"ping"}}', concat('not json ', event_id)), """
-        f"array({frame}))"
+    line = lambda text, place: f"struct({text} AS value, concat('{place}/', event_id) AS record)"
+    extra = (
+        (11, line("""'{"type":"ping"}'""", "ping")),
+        (11, line("""'{"type":"news","data":"x"}'""", "news")),
+        (11, line("concat('not json ', event_id)", "junk")),
+        (10, line(frame, "again")),
+    )
+    lines = ", ".join(f"if(_n % {every} = 0, array({x}), array())" for every, x in extra)
+    usual = line(frame, "trade")
+    return t.selectExpr(
+        f"inline(concat(array({usual}), {lines}, if(_n % 7 = 1, array({usual}), array())))"
     )
-    return t.selectExpr(f"explode({lines}) AS value")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

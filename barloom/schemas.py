@@ -44,6 +44,8 @@ SILVER = T.StructType(
     ]
 )
 SILVER_PARTITIONS = ("asset_class", *DATE_PARTS)
+# As stored, with the number of the load that brought a row.
+SILVER_STORED = T.StructType([*SILVER.fields, T.StructField("load_id", T.LongType())])
 
 # Mart times carry no zone and are always UTC.
 OHLCV_1M = T.StructType(

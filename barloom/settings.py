@@ -7,16 +7,15 @@ import os
 # The default watchlist.
 DEFAULT_WATCHLIST = "AAPL,MSFT,GOOGL,AMZN,NVDA,TSLA,META"
 
-# Windows, triggers and batch sizes of the live pipeline.
+# Windows and triggers of the live pipeline.
 CANDLE_WIDTH = "1 minute"
 WATERMARK = "5 minutes"
-BRONZE_BATCH_RECORDS = 5_000
 BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "10 seconds"
 GOLD_TRIGGER = "30 seconds"
 
-# Files per directory and batch that the live clean layer writes.
-SILVER_FILES = 4
+# How far ahead of its arrival a tick may claim to be, before it is kept out of the candles.
+FUTURE_SKEW_MS = 300_000
 
 # How far the batch jobs look back.
 HEAL_LOOKBACK_DAYS = 6

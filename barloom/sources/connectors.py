@@ -9,36 +9,52 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators.frames import encode_trades
 from barloom.operators.merge import UpsertRule
-from barloom.schemas import MART_KEYS, SILVER
-from barloom.settings import BRONZE_BATCH_RECORDS
+from barloom.schemas import MART_KEYS, SILVER_STORED
 
 
 def read_frames(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
-    """A stream of frames: any source with a ``value`` column (text files, Kafka)."""
+    """A stream of frames: any source with a ``value`` column (text files, Kafka).
+
+    Topic records keep their place as ``record``, so that a redelivery is recognised.
+    """
     reader = spark.readStream.format(fmt).options(**options)
-    return (reader.load(path) if path else reader.load()).select("value")
+    return _placed(reader.load(path) if path else reader.load())
+
+
+def load_frames(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
+    """The frames that are there now, for a backfill."""
+    reader = spark.read.format(fmt).options(**options)
+    return _placed(reader.load(path) if path else reader.load())
+
+
+def _placed(frames: DataFrame) -> DataFrame:
+    place = ("topic", "partition", "offset")
+    if set(place) <= set(frames.columns):
+        return frames.select("value", F.concat_ws("/", *place).alias("record"))
+    return frames.select("value")
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, max_records: int = BRONZE_BATCH_RECORDS
+    spark: SparkSession, servers: str, topic: str, max_records: int | None = None
 ) -> DataFrame:
-    """The trade topic from its start, in batches of at most ``max_records``.
+    """The trade topic from its start; a batch is all that has arrived, or ``max_records``.
 
     Offsets live in the query's checkpoint and advance only after a batch is written.
     """
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_records)
-        .load()
-        .select("key", "value")
     )
+    if max_records:
+        reader = reader.option("maxOffsetsPerTrigger", max_records)
+    return reader.load().select("key", "value")
 
 
 # Delivery and batching settings of the topic writer.
@@ -72,7 +88,7 @@ def read_silver(spark: SparkSession, path: str, as_of: str | None = None, fmt: s
     if fmt == "delta":
         reader = spark.read.format("delta")
         return (reader.option("timestampAsOf", as_of) if as_of else reader).load(path)
-    reader = spark.read.schema(SILVER)
+    reader = spark.read.schema(SILVER_STORED)
     return (reader.option("modifiedBefore", as_of) if as_of else reader).parquet(path)
 
 

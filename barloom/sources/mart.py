@@ -1,15 +1,20 @@
 """Keyed candle tables on partitioned Parquet.
 
-A merge rewrites only the periods its source touches. The merged periods are first
-written to a sibling folder and then copied over the table with dynamic partition
-overwrite, so a driver that dies half way leaves the complete result behind and the
-next call finishes the job. One writer at a time, as with any single table.
+A merge writes every period it touches to a new directory, and then a small file that names
+the current directory of each period. Readers follow the newest such file, so they never see
+a half-written merge, and what they hold stays readable until ``keep`` more merges are done.
+Two merges at once do not mix: within a process they take turns, and of two processes the one
+whose base has been overtaken merges again.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 from datetime import datetime
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +23,28 @@ from pyspark.sql import types as T
 from barloom.operators.bars import as_moment
 from barloom.operators.merge import UpsertRule, last_per_key, merge_upsert
 from barloom.schemas import MART_KEYS
-from barloom.sources.paths import delete, exists
+from barloom.sources.paths import create_text, delete, names, read_text
 
 # Length of 'yyyy-MM-dd HH' that names a period of each grain.
 GRAINS = {"year": 4, "month": 7, "day": 10, "hour": 13}
 PERIOD = "period"
+VERSION = "version"
 _BROADCAST_PERIODS = 100_000
+_TRIES = 10
+
+_locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
+
+
+class Sink(Protocol):
+    """Anything candles can be upserted into."""
+
+    def merge(
+        self,
+        source: DataFrame,
+        rule: UpsertRule,
+        order: Sequence[str] = (),
+        now: datetime | Column | None = None,
+    ) -> None: ...
 
 
 class Mart:
@@ -40,17 +61,20 @@ class Mart:
         schema: T.StructType,
         grain: str = "day",
         keys: Sequence[str] = MART_KEYS,
+        keep: int = 2,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = tuple(keys)
         self._length = GRAINS[grain]
-        self._incoming = f"{self.path}.incoming"
-        self._pending = f"{self.path}.pending"
+        self._keep = keep
+        self._data = f"{self.path}/data"
+        self._pointers = f"{self.path}/current"
+        self._views: set[str] = set()
         self._stored = T.StructType(
             [T.StructField(f.name, f.dataType) for f in schema]
-            + [T.StructField(PERIOD, T.StringType())]
+            + [T.StructField(PERIOD, T.StringType()), T.StructField(VERSION, T.StringType())]
         )
 
     # -- reading -----------------------------------------------------------
@@ -60,7 +84,7 @@ class Mart:
 
         Bounds also prune the period directories.
         """
-        df = self._table()
+        df = self._table(self._current()[1])
         if since is not None:
             df = df.filter(F.col(PERIOD) >= self._period(since)).filter(
                 F.col("window_start") >= since
@@ -69,14 +93,17 @@ class Mart:
             df = df.filter(F.col(PERIOD) <= self._period(until)).filter(
                 F.col("window_start") < until
             )
-        return df.drop(PERIOD)
+        return df.drop(PERIOD, VERSION)
 
     def ensure(self) -> None:
-        """Create the table when it is absent, and finish an interrupted merge."""
-        if exists(self.spark, f"{self._pending}/_SUCCESS"):
-            self._apply()
-        if not exists(self.spark, self.path):
-            self._empty().write.partitionBy(PERIOD).parquet(self.path)
+        """Create the table when it is absent."""
+        if not names(self.spark, self._pointers):
+            create_text(self.spark, self._pointer(0), "")
+
+    def view(self, name: str) -> None:
+        """A temporary view that follows every merge by this object."""
+        self._views.add(name)
+        self.read().createOrReplaceTempView(name)
 
     # -- writing -----------------------------------------------------------
 
@@ -93,33 +120,67 @@ class Mart:
         be evaluated again, and a lost executor then re-reads a file instead of
         recomputing the whole lineage.
         """
-        self.ensure()
-        self._incoming_rows(source, order, now).write.mode("overwrite").parquet(self._incoming)
-        rows = self.spark.read.parquet(self._incoming)
+        incoming = f"{self.path}/incoming-{uuid.uuid4().hex}"
+        self._incoming_rows(source, order, now).write.parquet(incoming)
+        rows = self.spark.read.parquet(incoming)
         first, last, n_periods = rows.agg(
             F.min(PERIOD), F.max(PERIOD), F.countDistinct(PERIOD)
         ).first()
-        if n_periods:
-            touched = rows.select(PERIOD).distinct()
-            if n_periods <= _BROADCAST_PERIODS:
-                # Counted, so known to be a few megabytes at most; a broadcast also
-                # prunes the directories between the first and the last period.
-                touched = F.broadcast(touched)
-            before = (
-                self._table()
-                .filter(F.col(PERIOD).between(first, last))
-                .join(touched, PERIOD, "left_semi")
-                .select(*self._stored.fieldNames())
-            )
-            merged = merge_upsert(before, rows, rule, (*self.keys, PERIOD), unique=True)
-            (
-                merged.hint("rebalance", PERIOD)
-                .write.mode("overwrite")
-                .partitionBy(PERIOD)
-                .parquet(self._pending)
-            )
-            self._apply()
-        delete(self.spark, self._incoming)
+        with _locks[self.path]:
+            self.ensure()
+            if n_periods:
+                for _ in range(_TRIES):
+                    if self._merge_rows(rows, rule, first, last, n_periods):
+                        break
+                else:
+                    raise RuntimeError(f"{self.path}: overtaken by other writers {_TRIES} times")
+                for name in self._views:
+                    self.read().createOrReplaceTempView(name)
+        delete(self.spark, incoming)
+
+    def _merge_rows(
+        self, rows: DataFrame, rule: UpsertRule, first: str, last: str, n_periods: int
+    ) -> bool:
+        """One attempt; False if another process has changed the table meanwhile."""
+        number, current = self._current()
+        touched = rows.select(PERIOD).distinct()
+        if n_periods <= _BROADCAST_PERIODS:
+            # Counted, so known to be a few megabytes at most.
+            touched = F.broadcast(touched)
+        before = (
+            self._table({p: v for p, v in current.items() if first <= p <= last})
+            .join(touched, PERIOD, "left_semi")
+            .drop(VERSION)
+        )
+        merged = merge_upsert(before, rows, rule, (*self.keys, PERIOD), unique=True)
+        version = uuid.uuid4().hex
+        (
+            merged.withColumn(VERSION, F.lit(version))
+            .hint("rebalance", PERIOD)
+            .write.mode("append")
+            .partitionBy(PERIOD, VERSION)
+            .parquet(self._data)
+        )
+        written = {r[0]: version for r in rows.select(PERIOD).distinct().toLocalIterator()}
+        text = "\n".join(f"{p} {v}" for p, v in sorted((current | written).items()))
+        if not create_text(self.spark, self._pointer(number + 1), text):
+            for period in written:
+                delete(self.spark, self._directory(period, version))
+            return False
+        self._clean(number + 1)
+        return True
+
+    def _clean(self, number: int) -> None:
+        """Remove what only pointers older than the last ``keep`` name."""
+        old = sorted(n for n in self._numbers() if n < number - self._keep)
+        if not old:
+            return
+        kept = [self._named(n) for n in self._numbers() if n >= number - self._keep]
+        for n in old:
+            for period, version in self._named(n).items():
+                if all(k.get(period) != version for k in kept):
+                    delete(self.spark, self._directory(period, version))
+            delete(self.spark, self._pointer(n))
 
     def _incoming_rows(
         self, source: DataFrame, order: Sequence[str], now: datetime | Column | None
@@ -141,21 +202,29 @@ class Mart:
             value = F.when(value.isNull(), refuse.cast(field.dataType)).otherwise(value)
         return value.alias(field.name)
 
-    def _apply(self) -> None:
-        (
-            self.spark.read.schema(self._stored)
-            .parquet(self._pending)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PERIOD)
-            .parquet(self.path)
-        )
-        delete(self.spark, self._pending)
+    def _pointer(self, number: int) -> str:
+        return f"{self._pointers}/{number:012d}"
+
+    def _directory(self, period: str, version: str) -> str:
+        return f"{self._data}/{PERIOD}={period}/{VERSION}={version}"
+
+    def _numbers(self) -> list[int]:
+        return [int(n) for n in names(self.spark, self._pointers) if n.isdigit()]
+
+    def _named(self, number: int) -> dict[str, str]:
+        """The directory of each period under one pointer."""
+        lines = read_text(self.spark, self._pointer(number)).splitlines()
+        return dict(line.split(" ") for line in lines)
+
+    def _current(self) -> tuple[int, dict[str, str]]:
+        number = max(self._numbers(), default=-1)
+        return number, self._named(number) if number >= 0 else {}
 
-    def _table(self) -> DataFrame:
-        if not exists(self.spark, self.path):
+    def _table(self, current: dict[str, str]) -> DataFrame:
+        if not current:
             return self._empty()
-        return self.spark.read.schema(self._stored).parquet(self.path)
+        reader = self.spark.read.schema(self._stored).option("basePath", self._data)
+        return reader.parquet(*(self._directory(p, v) for p, v in current.items()))
 
     def _empty(self) -> DataFrame:
         none = (F.lit(None).cast(f.dataType).alias(f.name) for f in self._stored)

@@ -17,14 +17,15 @@ from pyspark.sql.types import StructType
 
 from barloom.operators.bronze import to_bronze
 from barloom.operators.candles import candles
-from barloom.operators.frames import accepted, mark_records, mark_trades, quarantined
+from barloom.operators.frames import accepted, mark_records, mark_trades, only_watched, quarantined
 from barloom.operators.merge import LIVE
-from barloom.operators.silver import to_silver
-from barloom.schemas import BRONZE, DATE_PARTS, SILVER, SILVER_PARTITIONS
+from barloom.operators.silver import not_stored, split_future, to_silver
+from barloom.schemas import BRONZE, DATE_PARTS, SILVER_PARTITIONS, SILVER_STORED
 from barloom.session import ROCKSDB
-from barloom.settings import CANDLE_WIDTH, WATERMARK
-from barloom.sources.mart import Mart
-from barloom.streaming.metrics import observed
+from barloom.settings import CANDLE_WIDTH, FUTURE_SKEW_MS, WATERMARK
+from barloom.sources.mart import Sink
+from barloom.sources.paths import make_folder
+from barloom.streaming.metrics import observed, report
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -69,15 +70,21 @@ def start_bronze(
     path: str,
     checkpoint: str,
     every: str | None = None,
-    event_id: str = "uuid",
+    event_id: str = "record",
     topic: bool = False,
+    watchlist: DataFrame | list[str] | None = None,
 ) -> StreamingQuery:
     """Frames, or with ``topic`` keyed records, to the date-partitioned raw layer.
 
+    ``watchlist`` keeps out the other symbols.
+
     The file sink commits a batch as a whole and its log skips replayed batches.
     """
     marked = mark_records(source) if topic else mark_trades(source, event_id)
-    rows = to_bronze(observed(accepted(marked), "bronze"))
+    trades = accepted(marked)
+    if watchlist is not None:
+        trades = only_watched(trades, watchlist)
+    rows = to_bronze(observed(trades, "bronze"))
     writer = rows.writeStream.format("parquet").option("path", path).partitionBy(*DATE_PARTS)
     return _start(writer, checkpoint, every)
 
@@ -103,47 +110,51 @@ def stream_bronze(
 # -- silver --------------------------------------------------------------------
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
-    rows = _by_partition(silver, SILVER_PARTITIONS)
+def write_silver(silver: DataFrame, path: str, load_id: int = 0) -> None:
+    """Append ticks, marked with the number of their load."""
+    rows = silver.withColumn("load_id", F.lit(load_id).cast("bigint"))
+    rows = _by_partition(rows.select(*SILVER_STORED.fieldNames()), SILVER_PARTITIONS)
     rows.write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(path)
 
 
+def append_silver(bronze: DataFrame, path: str, load_id: int = 0) -> None:
+    """Clean a batch of the raw layer and append the ticks that are not yet stored.
+
+    However late a tick is, it is kept; a batch that is replayed adds nothing again.
+    """
+    silver = to_silver(bronze).persist()
+    try:
+        fresh = not_stored(silver, path)
+        report("silver_kept", fresh)
+        write_silver(fresh, path, load_id)
+    finally:
+        silver.unpersist()
+
+
 def start_silver(
-    bronze: DataFrame,
-    path: str,
-    checkpoint: str,
-    every: str | None = None,
-    dedup: str = "watermark",
-    delay: str = WATERMARK,
-    files: int | None = None,
+    bronze: DataFrame, path: str, checkpoint: str, every: str | None = None, dedup: str = "stored"
 ) -> StreamingQuery:
-    """Raw layer to the clean layer.
-
-    ``watermark`` also drops an id redelivered in a later batch; its memory is the
-    watermark delay. ``batch`` forgets between batches.
+    """Raw layer to the clean layer; the batch's number is stored as ``load_id``.
 
-    Deduplication spreads every day over all tasks, each of which writes a file per
-    directory. ``files`` bounds the files per directory and batch by one more shuffle:
-    right for small live batches, wrong for a backfill with a few huge days.
+    ``stored`` looks ids up in the directories the batch touches, so a redelivery in any
+    later batch is recognised. ``batch`` forgets between batches.
     """
-    read = observed(bronze, "silver_read")
-    if dedup == "batch":
+    if dedup not in ("stored", "batch"):
+        raise ValueError(f"unknown dedup {dedup!r}")
 
-        def append(batch: DataFrame, _batch_id: int) -> None:
-            write_silver(observed(to_silver(batch, "global"), "silver_kept"), path)
+    def append(batch: DataFrame, batch_id: int) -> None:
+        if dedup == "stored":
+            append_silver(batch, path, batch_id)
+        else:
+            write_silver(to_silver(batch), path, batch_id)
 
-        return _start(read.writeStream.foreachBatch(append), checkpoint, every)
-    rows = observed(to_silver(read, dedup, delay), "silver_kept")
-    if files:
-        share = F.pmod(F.hash("event_id"), F.lit(files))
-        rows = rows.repartition(*SILVER_PARTITIONS, share)
-    writer = rows.writeStream.format("parquet").option("path", path)
-    with _rocksdb(bronze.sparkSession):
-        return _start(writer.partitionBy(*SILVER_PARTITIONS), checkpoint, every)
+    make_folder(bronze.sparkSession, path)
+    read = observed(bronze, "silver_read")
+    return _start(read.writeStream.foreachBatch(append), checkpoint, every)
 
 
 def stream_silver(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return _stream(spark, SILVER, path, max_files)
+    return _stream(spark, SILVER_STORED, path, max_files)
 
 
 # -- gold ----------------------------------------------------------------------
@@ -151,18 +162,24 @@ def stream_silver(spark: SparkSession, path: str, max_files: int | None = None)
 
 def start_gold(
     silver: DataFrame,
-    mart: Mart,
+    mart: Sink,
     checkpoint: str,
     every: str | None = None,
     width: str = CANDLE_WIDTH,
     watermark: str = WATERMARK,
     decimals: int = 6,
+    skew_ms: int | None = FUTURE_SKEW_MS,
 ) -> StreamingQuery:
     """Clean layer to candles, upserted whenever they change.
 
+    Ticks stamped more than ``skew_ms`` ahead of their arrival stay out: one of them would
+    move the watermark past all others.
+
     A candle is written again with its full value on every change, so a replayed
     batch leaves the table as it was. A failed write fails the query.
     """
+    if skew_ms is not None:
+        silver, _ = split_future(silver, skew_ms)
     bars = candles(silver, width, watermark=watermark, decimals=decimals)
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,17 @@ def observed(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
+_live: weakref.WeakSet = weakref.WeakSet()
+
+
+def report(name: str, df: DataFrame) -> None:
+    """Count a batch that a ``foreachBatch`` function is about to write, if anyone listens."""
+    if _live:
+        rows = df.count()
+        for counters in _live:
+            counters.totals[name] += rows
+
+
 class RowCounters(StreamingQueryListener):
     """Totals of the observed counts over all batches of all queries.
 
@@ -24,6 +36,7 @@ class RowCounters(StreamingQueryListener):
     def __init__(self) -> None:
         self.totals: Counter[str] = Counter()
         self.failures = 0
+        _live.add(self)
 
     def onQueryStarted(self, event) -> None:
         pass

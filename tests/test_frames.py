@@ -14,7 +14,7 @@ from barloom.operators.frames import (
 from barloom.operators.lookup import watchlist_frame
 from barloom.schemas import TRADE
 
-GOOD = {"p": 150.25, "s": "AAPL", "t": 1629837237123, "v": 12.5, "c": ["1"]}
+GOOD = {"p": 93.5, "s": "NFLX", "t": 1700000000456, "v": 40.25, "c": ["7"]}
 
 
 def frames(spark, *values):
@@ -30,15 +30,23 @@ def test_sample_record(spark):
     good, bad = parse_trades(frames(spark, trade_frame(GOOD)), now=F.lit(7).cast("bigint"))
     row = good.collect()[0]
     assert good.schema.fieldNames() == TRADE.fieldNames()
-    assert (row.symbol, row.price, row.volume) == ("AAPL", 150.25, 12.5)
-    assert (row.source_timestamp, row.ingestion_timestamp) == (1629837237123, 7)
-    assert row.trade_conditions == ["1"]
+    assert (row.symbol, row.price, row.volume) == ("NFLX", 93.5, 40.25)
+    assert (row.source_timestamp, row.ingestion_timestamp) == (1700000000456, 7)
+    assert row.trade_conditions == ["7"]
     assert bad.count() == 0
 
 
 def test_other_frames_vanish(spark):
     marked = mark_trades(
-        frames(spark, {"type": "ping"}, {"data": [GOOD]}, {"type": "trade"}, trade_frame())
+        frames(
+            spark,
+            {"type": "ping"},
+            {"type": "ping", "data": [1]},
+            {"type": "news", "data": "x"},
+            {"data": [GOOD]},
+            {"type": "trade"},
+            trade_frame(),
+        )
     )
     assert marked.count() == 0
 
@@ -108,7 +116,7 @@ def test_topic_round_trip(spark):
     source = frames(spark, trade_frame(GOOD, {**GOOD, "s": "BINANCE:BTCUSDT", "p": 0.1 + 0.2}))
     trades = parse_trades(source, "payload", F.lit(1).cast("bigint"))[0]
     records = encode_trades(trades)
-    assert {bytes(r.key).decode() for r in records.collect()} == {"AAPL", "BINANCE:BTCUSDT"}
+    assert {bytes(r.key).decode() for r in records.collect()} == {"NFLX", "BINANCE:BTCUSDT"}
     assert sorted(json.loads(bytes(records.collect()[0].value))) == sorted(TRADE.fieldNames())
     back, bad = decode_trades(records)
     assert sorted(back.collect()) == sorted(trades.collect())

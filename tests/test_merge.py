@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -85,8 +86,7 @@ def test_mart_merges(spark, tmp_path, grain):
     assert got["A", T1].created_at == LATER
     assert mart.read(since=F.lit(T2).cast("timestamp_ntz")).count() == 2
     assert mart.read(until=F.lit(T1).cast("timestamp_ntz")).count() == 1
-    assert not os.path.exists(f"{mart.path}.incoming")
-    assert not os.path.exists(f"{mart.path}.pending")
+    assert not [n for n in os.listdir(mart.path) if n.startswith("incoming")]
 
 
 def test_merge_is_idempotent(spark, tmp_path):
@@ -103,8 +103,7 @@ def test_untouched_periods_are_not_rewritten(spark, tmp_path):
     mart.merge(bars(spark, bar("A", T0), bar("A", T2)), LIVE)
 
     def files(day):
-        folder = f"{mart.path}/period={day}"
-        return sorted(os.listdir(folder))
+        return mart._current()[1][day]
 
     first, second = files("2024-01-01"), files("2024-01-02")
     mart.merge(bars(spark, bar("A", datetime(2024, 1, 2, 5))), LIVE)
@@ -114,24 +113,65 @@ def test_untouched_periods_are_not_rewritten(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(period" in plan._jdf.queryExecution().executedPlan().toString()
 
 
-def test_interrupted_merge_is_finished(spark, tmp_path, monkeypatch):
+def test_interrupted_merge_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
     mart.merge(bars(spark, bar("A", T0), bar("A", T2)), LIVE)
 
-    def die(self):
+    def die(*args):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as m:
-        m.setattr(Mart, "_apply", die)
+        m.setattr("barloom.sources.mart.create_text", die)
         with pytest.raises(RuntimeError, match="driver lost"):
             mart.merge(bars(spark, bar("A", T1, 7.0)), LIVE)
     again = Mart(spark, mart.path, OHLCV_1M)
-    again.merge(bars(spark, bar("B", T2)), LIVE)
+    assert len(contents(again.read())) == 2
+    again.merge(bars(spark, bar("A", T1, 7.0), bar("B", T2)), LIVE)
     got = contents(again.read())
     assert len(got) == 4
     assert got["A", T1].open == 7.0
 
 
+def test_two_merges_at_once_lose_nothing(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    mart.merge(bars(spark, bar("A", T0)), LIVE)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda s: Mart(spark, mart.path, OHLCV_1M).merge(bars(spark, bar(s, T0), bar(s, T2)), LIVE), "BCDE"))
+    assert mart.read().count() == 9
+
+
+def test_an_overtaken_writer_merges_again(spark, tmp_path, monkeypatch):
+    """Another process has moved the pointer after this one read it."""
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    mart.merge(bars(spark, bar("A", T0)), LIVE)
+    number, current = mart._current()
+    mart.merge(bars(spark, bar("B", T0)), LIVE)
+    seen, real = [], Mart._current
+
+    def stale(self):
+        seen.append(1)
+        return (number, current) if len(seen) == 1 else real(self)
+
+    monkeypatch.setattr(Mart, "_current", stale)
+    mart.merge(bars(spark, bar("C", T0)), LIVE)
+    assert sorted(k for k, _ in contents(mart.read())) == ["A", "B", "C"]
+
+
+def test_readers_and_views_outlive_merges(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    mart.merge(bars(spark, bar("A", T0)), LIVE)
+    mart.view("bars_view")
+    held = mart.read()
+    for i, symbol in enumerate("BCDEF"):
+        mart.merge(bars(spark, bar(symbol, T0)), LIVE)
+        assert spark.sql("SELECT count(*) FROM bars_view").first()[0] == i + 2
+        if i < mart._keep:
+            assert held.count() == 1
+    versions = os.listdir(f"{mart.path}/data/period=2024-01-01")
+    assert len(versions) <= mart._keep + 1
+    assert len(mart._numbers()) <= mart._keep + 1
+
+
 def test_null_in_a_required_column_is_refused(spark, tmp_path):
     mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
     mart.merge(bars(spark, bar("A", T0)), LIVE)

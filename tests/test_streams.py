@@ -130,7 +130,7 @@ def test_failed_write_fails_the_query(spark, tmp_path):
     assert good.read().count() == 1
 
 
-@pytest.mark.parametrize(("dedup", "kept"), [("watermark", 2), ("batch", 3)])
+@pytest.mark.parametrize(("dedup", "kept"), [("stored", 2), ("batch", 3)])
 def test_redelivery_in_a_later_batch(spark, tmp_path, dedup, kept):
     bronze = str(tmp_path / "bronze")
     land(spark, bronze, [trade("a", at(0)), trade("a", at(0)), trade("z", at(0), -1.0)], "f1")
@@ -257,14 +257,47 @@ def test_live_pipeline(spark, tmp_path, monkeypatch):
             q.stop()
 
 
-def test_files_per_directory_are_bounded(spark, tmp_path):
-    rows = [trade(f"e{i}", at(0, i % 60)) for i in range(200)]
-    jobs.write_bronze(spark.createDataFrame(rows, TRADE), str(tmp_path / "bronze"))
-    bronze = jobs.stream_bronze(spark, str(tmp_path / "bronze"))
-    out = tmp_path / "silver"
-    jobs.start_silver(bronze, str(out), str(tmp_path / "ck"), files=1).awaitTermination()
-    assert len(list(out.rglob("*.parquet"))) == 1
-    assert spark.read.schema(SILVER).parquet(str(out)).count() == 200
+def test_late_ticks_stay_in_the_clean_layer(spark, tmp_path):
+    """Hours late, after another batch moved on; one is delivered twice, one batch replayed."""
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    for i, rows in enumerate(
+        [[trade("a", at(60))], [trade("b", at(61))], [trade("c", at(0)), trade("d", at(62)), trade("a", at(60))]]
+    ):
+        land(spark, bronze, rows, f"f{i}")
+    jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, str(tmp_path / "ck")).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert {r.event_id: r.load_id for r in stored.collect()} == {"a": 0, "b": 1, "c": 2, "d": 2}
+    jobs.append_silver(spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(bronze), out, 3)
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_a_tick_from_the_future_moves_no_watermark(spark, tmp_path):
+    ticks = str(tmp_path / "in")
+    ahead = ("x", "AAPL", 1.0, 1.0, at(3000), at(0), [])
+    for rows in ([trade("a", at(0)), ahead], [trade("b", at(1))], [trade("c", at(2))]):
+        to_silver(jobs.to_bronze(spark.createDataFrame(rows, TRADE))).coalesce(1).write.mode("append").parquet(ticks)
+        time.sleep(1.1)
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M, "hour")
+    jobs.start_gold(files_as_stream(spark, ticks, SILVER), mart, str(tmp_path / "ck")).awaitTermination()
+    assert sorted(r.window_start for r in mart.read().collect()) == [clock(0), clock(1), clock(2)]
+
+
+def test_backfill_loses_nothing(spark, tmp_path):
+    """Equal frames are two trades, a redelivered record is one, and what is refused is kept."""
+    from barloom.plans.pipeline import backfill, minute_mart
+
+    same = frame({"s": "AAPL", "p": 10, "v": 2, "t": at(0)})
+    rows = [(same, "t/0/1"), (same, "t/0/2"), (same, "t/0/1"), ("junk", "t/0/3"), (frame({"s": "X"}), "t/0/4")]
+    rows += [(frame({"s": "MSFT", "p": 1, "v": 1, "t": at(60 * 24 * d)}), f"t/1/{d}") for d in range(4)]
+    frames = spark.createDataFrame(rows, "value string, record string")
+    root = str(tmp_path / "lake")
+    mart = minute_mart(spark, root)
+    backfill(frames, root, mart, watchlist=["AAPL", "MSFT"], days_at_once=2)
+    got = {(r.symbol, r.window_start): r.tick_count for r in mart.read().collect()}
+    assert got == {("AAPL", clock(0)): 2} | {("MSFT", clock(60 * 24 * d)): 1 for d in range(4)}
+    assert sorted(r.reject_reason for r in spark.read.parquet(f"{root}/rejects").collect()) == ["bad_json", "bad_price"]
+    backfill(frames, root, mart, watchlist=["AAPL"])
+    assert {(r.symbol, r.window_start): r.tick_count for r in mart.read().collect()} == got
 
 
 def test_corrupt_files_can_be_skipped(spark, tmp_path):
