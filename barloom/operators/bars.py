@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -37,23 +39,58 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(plain(c) for c in df.columns))
 
 
-def normalise_bars(bars: DataFrame) -> DataFrame:
-    """Vendor bars as ``symbol, window_start, open, high, low, close, volume``.
+def _time_column(df: DataFrame) -> str:
+    names = {c.lower(): c for c in df.columns}
+    found = next((names[c] for c in ("datetime", "date") if c in names), None)
+    if found is None:
+        raise ValueError(f"no datetime or date column in {df.columns}")
+    return found
+
 
-    The time column is ``datetime`` when there is one, else ``date``. A time with a
-    zone becomes UTC.
+def mark_bars(bars: DataFrame) -> DataFrame:
+    """Vendor bars as ``symbol, window_start, open, high, low, close, volume``, with
+    ``reject_reason`` NULL when they are sound.
+
+    The time column is ``datetime`` when there is one, else ``date``. A time with a zone
+    becomes UTC. A bar without symbol or time, or with a text that is no number, is refused
+    alone; a missing number is no fault.
     """
     named = plain_names(bars)
-    time_col = next((c for c in ("datetime", "date") if c in named.columns), None)
-    if time_col is None:
-        raise ValueError(f"no datetime or date column in {named.columns}")
+    time_col = _time_column(named)
+    if named.schema[time_col].dataType.typeName() == "string":
+        named = named.withColumn(time_col, F.col(time_col).try_cast("timestamp_ntz"))
+    numbers = {c: F.col(c).try_cast("double") for c in OHLCV}
+    wrong = [F.col(c).isNotNull() & n.isNull() for c, n in numbers.items()]
+    moment = as_utc(named, time_col).cast("timestamp_ntz")
+    reason = (
+        F.when(F.col("symbol").isNull(), "bad_symbol")
+        .when(moment.isNull(), "bad_time")
+        .when(reduce(or_, wrong), "bad_number")
+    )
     return named.select(
-        "symbol",
-        as_utc(named, time_col).cast("timestamp_ntz").alias("window_start"),
-        *(F.col(c).cast("double").alias(c) for c in OHLCV),
+        "symbol", moment.alias("window_start"), *(n.alias(c) for c, n in numbers.items()), reason.alias("reject_reason")
     )
 
 
+def normalise_bars(bars: DataFrame) -> DataFrame:
+    """The sound bars of :func:`mark_bars`."""
+    return mark_bars(bars).filter("reject_reason IS NULL").drop("reject_reason")
+
+
+def refused_bars(bars: DataFrame) -> DataFrame:
+    """The others, with the reason."""
+    return mark_bars(bars).filter("reject_reason IS NOT NULL")
+
+
+def bars_from(bars: DataFrame, start: datetime) -> DataFrame:
+    """Vendor bars from ``start`` on. The bound is a literal, so it reaches the scan."""
+    name = _time_column(bars)
+    kind = bars.schema[name].dataType.typeName()
+    if kind not in ("date", "timestamp_ntz"):
+        return bars
+    return bars.filter(F.col(f"`{name}`") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz").cast(kind))
+
+
 def map_symbols(watchlist: DataFrame) -> DataFrame:
     """Watchlist symbols with their vendor name and class."""
     symbol = F.col("symbol")
@@ -81,8 +118,12 @@ def with_original_symbol(bars: DataFrame, symbols: DataFrame) -> DataFrame:
 
 def since_last_day(bars: DataFrame, now: Column, years: int = DAILY_HISTORY_YEARS) -> DataFrame:
     """Daily rule: restart at the day of ``last_window``, or ``years`` back without one."""
-    start = F.coalesce(F.to_date("last_window"), F.to_date(F.add_months(F.to_date(now), -12 * years)))
-    return bars.filter(F.col("window_start") >= start.cast("timestamp_ntz"))
+    return bars.filter(F.col("window_start") >= first_day(now, years).cast("timestamp_ntz"))
+
+
+def first_day(now: Column, years: int = DAILY_HISTORY_YEARS) -> Column:
+    """The day a symbol restarts at, by its ``last_window``."""
+    return F.coalesce(F.to_date("last_window"), F.to_date(F.add_months(F.to_date(now), -12 * years)))
 
 
 def lookback_start(now: Column, days: int = HEAL_LOOKBACK_DAYS) -> Column:

@@ -5,19 +5,25 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from barloom.operators import bars as B
 from barloom.operators.lookup import high_watermark
 from barloom.operators.merge import DAILY
 from barloom.schemas import DATE_PARTS
-from barloom.sources.mart import Mart
+from barloom.session import stored
+from barloom.sources.mart import Sink
 
 
 def daily_increment(
     bars: DataFrame, stored: DataFrame, watchlist: DataFrame, now: datetime | Column | None = None
 ) -> DataFrame:
     """Clean bars each symbol still needs; its last stored day is refreshed."""
-    symbols = B.map_symbols(watchlist).join(high_watermark(stored, watchlist), "symbol")
+    return _increment(bars, high_watermark(stored, watchlist), watchlist, now)
+
+
+def _increment(bars: DataFrame, last: DataFrame, watchlist: DataFrame, now: datetime | Column | None) -> DataFrame:
+    symbols = B.map_symbols(watchlist).join(last, "symbol")
     mapped = B.with_original_symbol(B.normalise_bars(bars), symbols.drop("asset_class"))
     wanted = B.since_last_day(mapped, B.as_moment(now))
     return B.drop_unclosed(wanted).select("symbol", "window_start", *B.OHLCV)
@@ -25,13 +31,26 @@ def daily_increment(
 
 def load_daily(
     bars: DataFrame,
-    mart: Mart,
+    mart: Sink,
     watchlist: DataFrame,
     now: datetime | Column | None = None,
     backup: str | None = None,
+    rejects: str | None = None,
+    stored_bars: DataFrame | None = None,
 ) -> None:
-    """Load the increment into ``mart``, keeping the raw bars under ``backup``."""
-    rows = daily_increment(bars, mart.read(), watchlist, now)
+    """Load the increment into ``mart``, keeping the raw bars under ``backup`` and those that
+    are refused under ``rejects``.
+
+    ``stored_bars`` is what a sink that cannot be read holds. The earliest start of all
+    symbols is a literal bound of the scan of ``bars``.
+    """
+    last = stored(high_watermark(mart.read() if stored_bars is None else stored_bars, watchlist), "last-bars")
+    start = last.select(F.min(B.first_day(B.as_moment(now))).cast("timestamp_ntz")).first()[0]
+    if start is not None:
+        bars = B.bars_from(bars, start)
+    if rejects:
+        B.refused_bars(bars).write.mode("append").parquet(rejects)
+    rows = _increment(bars, last, watchlist, now)
     if backup:
         copy = B.raw_backup(rows, now)
         (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 
@@ -10,7 +10,8 @@ from barloom.operators import bars as B
 from barloom.operators.lookup import high_watermark
 from barloom.operators.merge import HEAL
 from barloom.schemas import MART_KEYS
-from barloom.sources.mart import Mart
+from barloom.settings import HEAL_LOOKBACK_DAYS
+from barloom.sources.mart import Sink
 
 
 def heal_increment(
@@ -42,15 +43,23 @@ def heal_increment(
 
 def heal_minutes(
     bars: DataFrame,
-    mart: Mart,
+    mart: Sink,
     watchlist: DataFrame,
     now: datetime | Column | None = None,
     mode: str = "tail",
+    rejects: str | None = None,
+    stored_bars: DataFrame | None = None,
 ) -> None:
-    """Upsert the missing bars into ``mart``.
+    """Upsert the missing bars into ``mart``, keeping those that are refused under ``rejects``.
 
     Only the periods of the lookback are read: an older last bar and none at all
-    lead to the same start.
+    lead to the same start. ``stored_bars`` is what a sink that cannot be read holds.
     """
-    stored = mart.read(since=B.lookback_start(B.as_moment(now)))
-    mart.merge(heal_increment(bars, stored, watchlist, now, mode), HEAL, now=now)
+    start = B.lookback_start(B.as_moment(now))
+    if stored_bars is None:
+        stored_bars = mart.read(since=start)
+    if isinstance(now, datetime):
+        bars = B.bars_from(bars, datetime.combine(now.date() - timedelta(days=HEAL_LOOKBACK_DAYS), time()))
+    if rejects:
+        B.refused_bars(bars).write.mode("append").parquet(rejects)
+    mart.merge(heal_increment(bars, stored_bars, watchlist, now, mode), HEAL, now=now)

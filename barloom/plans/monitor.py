@@ -11,34 +11,28 @@ from barloom.functions.times import as_utc, floor_div, micros_of_day_time
 from barloom.operators.bars import as_moment
 
 
-def latency(ticks: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Arrival delay per symbol in milliseconds.
+def latency(ticks: DataFrame) -> DataFrame:
+    """Arrival delay per symbol in milliseconds, with exact quantiles.
 
-    The quantiles come from a mergeable sketch of bounded size, exact to a rank
-    error of ``1/accuracy``; an exact quantile would gather a symbol in one task.
+    Ticks are first counted by symbol and delay, so what is ranked are the distinct delays:
+    a quantile is the least delay that the share of the ticks reaches.
     """
     delay = F.col("ingestion_timestamp") - F.col("source_timestamp")
-    sketch = F.percentile_approx("_d", [0.5, 0.95, 0.99], accuracy)
-    return (
-        ticks.select("symbol", delay.alias("_d"))
-        .groupBy("symbol")
-        .agg(
-            F.count("_d").alias("n_ticks"),
-            F.avg("_d").alias("avg_ms"),
-            F.min("_d").alias("min_ms"),
-            F.max("_d").alias("max_ms"),
-            sketch.alias("_q"),
-        )
-        .select(
-            "symbol",
-            "n_ticks",
-            "avg_ms",
-            "min_ms",
-            "max_ms",
-            F.col("_q")[0].alias("p50_ms"),
-            F.col("_q")[1].alias("p95_ms"),
-            F.col("_q")[2].alias("p99_ms"),
-        )
+    counted = ticks.select("symbol", delay.alias("_d")).groupBy("symbol", "_d").agg(F.count("_d").alias("_n"))
+    upto = Window.partitionBy("symbol").orderBy(F.col("_d").asc_nulls_first())
+    whole = upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = counted.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(whole)})
+
+    def quantile(percent: int) -> Column:
+        reached = (F.col("_n") > 0) & (F.col("_upto") * 100 >= F.col("_all") * percent)
+        return F.min(F.when(reached, F.col("_d"))).alias(f"p{percent}_ms")
+
+    return ranked.groupBy("symbol").agg(
+        F.sum("_n").alias("n_ticks"),
+        (F.sum(F.col("_d") * F.col("_n")) / F.sum("_n")).alias("avg_ms"),
+        F.min("_d").alias("min_ms"),
+        F.max("_d").alias("max_ms"),
+        *(quantile(p) for p in (50, 95, 99)),
     )
 
 

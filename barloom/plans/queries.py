@@ -81,6 +81,14 @@ def _vendor_bars(bars: DataFrame, time_col: str) -> DataFrame:
     )
 
 
+def _with_a_bad_bar(bars: DataFrame, time_col: str) -> DataFrame:
+    """The bars with numbers as text, and for each symbol one more that has none."""
+    texts = bars.withColumn("Open", F.col("Open").cast("string"))
+    bad = texts.groupBy("Symbol").agg(F.max(time_col).alias(time_col))
+    bad = bad.select("Symbol", time_col, F.lit("n/a").alias("Open"), *(F.lit(1.0).alias(c) for c in ("High", "Low", "Close", "Volume")))
+    return texts.unionByName(bad)
+
+
 def _until(bars: DataFrame, moment: str) -> DataFrame:
     return bars.filter(F.col("window_start") <= F.lit(moment).cast("timestamp_ntz"))
 
@@ -312,7 +320,8 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = Mart(spark, f"{path}/ohlcv_daily", OHLCV_DAILY, grain="month")
     watchlist = _watchlist(spark)
     load_daily(_vendor_bars(_until(days, DAYS_LOADED), "Date"), mart, watchlist, NOW)
-    load_daily(_vendor_bars(days, "Date"), mart, watchlist, NOW, f"{path}/backup")
+    later = _with_a_bad_bar(_vendor_bars(days, "Date"), "Date")
+    load_daily(later, mart, watchlist, NOW, f"{path}/backup", f"{path}/rejects")
     kept = read_backup(spark, f"{path}/backup").select(
         "symbol", "window_start", F.lit(True).alias("backed_up")
     )
@@ -329,7 +338,8 @@ def heal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = stored(candles_1m(spark, sf_dir), "candles")
     mart = Mart(spark, scratch_dir(spark, "minutes"), OHLCV_1M, grain="day")
     mart.merge(_until(minutes, LOADED_UNTIL), LIVE, now=NOW)
-    heal_minutes(_vendor_bars(minutes, "Datetime"), mart, _watchlist(spark), HEAL_NOW)
+    bars = _with_a_bad_bar(_vendor_bars(minutes, "Datetime"), "Datetime")
+    heal_minutes(bars, mart, _watchlist(spark), HEAL_NOW, rejects=scratch_dir(spark, "rejects"))
     return mart.read().drop("created_at")
 
 
@@ -355,7 +365,10 @@ def mart_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latency(T.trades(spark, sf_dir)).withColumn("avg_ms", F.round("avg_ms", DECIMALS))
+    """Every tick arrives with a delay of its own."""
+    delay = F.pmod(F.col("event_id").cast("bigint") * 7919, F.lit(10_007))
+    ticks = T.trades(spark, sf_dir).withColumn("ingestion_timestamp", F.col("source_timestamp") + delay)
+    return latency(ticks).withColumn("avg_ms", F.round("avg_ms", DECIMALS))
 
 
 def flow_rates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barloom.operators.bars import as_moment
 from barloom.operators.frames import encode_trades
-from barloom.operators.merge import UpsertRule
+from barloom.operators.merge import UpsertRule, last_per_key
 from barloom.schemas import MART_KEYS, SILVER_STORED
 
 
@@ -97,8 +98,12 @@ def merge_statement(
 ) -> str:
     """``MERGE INTO`` text for a table format that has it; the source view is ``s``."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    updates = ", ".join(f"t.{c} = s.{c}" for c in rule.update if c in columns)
+    changes = [f"t.{c} = s.{c}" for c in rule.update if c in columns]
     values = {c: f"s.{c}" for c in columns}
+    if "created_at" in rule.update and "created_at" not in columns:
+        changes.append("t.created_at = current_timestamp()")
+        values["created_at"] = "current_timestamp()"
+    updates = ", ".join(changes)
     for name, default in rule.insert_defaults.items():
         values.setdefault(name, "NULL" if default is None else repr(default))
     return (
@@ -114,8 +119,9 @@ def upsert_statement(
     rule: UpsertRule,
     keys: Sequence[str] = MART_KEYS,
     mark: str = "%s",
+    rows: int = 1,
 ) -> str:
-    """``INSERT ... ON CONFLICT`` text with one ``mark`` per column."""
+    """``INSERT ... ON CONFLICT`` text of several rows, with one ``mark`` per column."""
     inserted = [*columns, *(c for c in rule.insert_defaults if c not in columns)]
     literals = [
         "NULL" if rule.insert_defaults[c] is None else repr(rule.insert_defaults[c])
@@ -124,9 +130,10 @@ def upsert_statement(
     updates = [f"{c} = EXCLUDED.{c}" for c in rule.update if c in columns]
     if "created_at" in rule.update and "created_at" not in columns:
         updates.append("created_at = CURRENT_TIMESTAMP")
+    row = f"({', '.join([mark] * len(columns) + literals)})"
     return (
         f"INSERT INTO {table} ({', '.join(inserted)}) "
-        f"VALUES ({', '.join([mark] * len(columns) + literals)}) "
+        f"VALUES {', '.join([row] * rows)} "
         f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {', '.join(updates)}"
     )
 
@@ -140,31 +147,51 @@ def upsert_relational(
     mark: str = "%s",
     connections: int = 8,
     chunk: int = 1_000,
+    order: Sequence[str] = (),
 ) -> None:
     """Upsert candles into a relational table straight from the executors.
 
-    ``connect`` opens a DB-API connection inside the task. A partition is one
-    transaction sent in chunks; a retried task repeats the same upserts, which
-    changes nothing. ``connections`` bounds the load on the database; rows are
-    spread over them evenly, whatever their symbol.
+    Rows are first reduced to one per key. ``connect`` opens a DB-API connection inside the
+    task. A partition is one transaction of statements of ``chunk`` rows; a retried task
+    repeats the same upserts, which changes nothing. ``connections`` bounds the load on the
+    database; rows are spread over them evenly, whatever their symbol.
     """
+    bars = last_per_key(bars, keys, order)
     columns = bars.columns
-    statement = upsert_statement(table, columns, rule, keys, mark)
 
     def send(rows) -> None:
         connection = connect()
         try:
             cursor = connection.cursor()
-            batch: list[tuple] = []
+            batch: list[Any] = []
             for row in rows:
-                batch.append(tuple(row))
-                if len(batch) == chunk:
-                    cursor.executemany(statement, batch)
+                batch += row
+                if len(batch) == chunk * len(columns):
+                    cursor.execute(upsert_statement(table, columns, rule, keys, mark, chunk), batch)
                     batch = []
             if batch:
-                cursor.executemany(statement, batch)
+                n = len(batch) // len(columns)
+                cursor.execute(upsert_statement(table, columns, rule, keys, mark, n), batch)
             connection.commit()
         finally:
             connection.close()
 
     bars.repartition(connections, *keys).foreachPartition(send)
+
+
+class RelationalSink:
+    """A relational candle table that the live, daily and healing jobs can write."""
+
+    def __init__(self, table: str, columns: Sequence[str], connect: Callable[[], Any], **options: Any):
+        self.table, self.columns = table, tuple(columns)
+        self.connect, self.options = connect, options
+
+    def merge(self, source: DataFrame, rule: UpsertRule, order: Sequence[str] = (), now=None) -> None:
+        """Upsert ``source``; ``created_at`` is the database's own time, or ``now``."""
+        names = [c for c in self.columns if c in source.columns and c != "created_at"]
+        rows = last_per_key(source.select(*names, *(c for c in order if c not in names)), MART_KEYS, order).select(*names)
+        # drivers know text, not zone-less times
+        rows = rows.withColumn("window_start", F.substring(F.col("window_start").cast("string"), 1, 19))
+        if now is not None and "created_at" in self.columns:
+            rows = rows.withColumn("created_at", F.substring(as_moment(now).cast("string"), 1, 19))
+        upsert_relational(rows, self.table, rule, self.connect, **self.options)

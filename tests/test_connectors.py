@@ -1,11 +1,15 @@
 import sqlite3
+from datetime import datetime
 
 import pytest
 
 from barloom import settings
+from barloom.operators.lookup import watchlist_frame
 from barloom.operators.merge import DAILY, HEAL, LIVE
+from barloom.plans.heal import heal_minutes
+from barloom.schemas import OHLCV_1M
 from barloom.session import scratch_dir
-from barloom.sources.connectors import merge_statement, upsert_relational, upsert_statement
+from barloom.sources.connectors import RelationalSink, merge_statement, upsert_relational, upsert_statement
 
 COLUMNS = ["symbol", "window_start", "open", "high", "low", "close", "volume"]
 
@@ -20,7 +24,8 @@ def test_statements():
     merge = merge_statement("mart", COLUMNS, HEAL)
     assert merge.startswith("MERGE INTO mart t USING s ON t.symbol = s.symbol AND t.window_start = s.window_start")
     assert "UPDATE SET t.open = s.open" in merge
-    assert merge.endswith("VALUES (s.symbol, s.window_start, s.open, s.high, s.low, s.close, s.volume, NULL, 1)")
+    assert "t.created_at = current_timestamp()" in merge
+    assert merge.endswith("s.volume, current_timestamp(), NULL, 1)")
 
 
 def test_relational_upsert_from_executors(spark, tmp_path):
@@ -49,6 +54,32 @@ def test_relational_upsert_from_executors(spark, tmp_path):
     assert got == (50, 2.0 * sum(range(50)), 1.0 * sum(range(50)))
 
 
+def test_jobs_into_a_relational_table(spark, tmp_path):
+    """The healer and the live path take the same sink as the file mart."""
+    path = str(tmp_path / "mart.db")
+    with sqlite3.connect(path) as db:
+        db.execute(
+            "CREATE TABLE ohlcv_1m (symbol TEXT, asset_class TEXT, window_start TEXT, open REAL, high REAL, low REAL,"
+            " close REAL, volume REAL, vwap REAL, tick_count INT, created_at TEXT, UNIQUE (symbol, window_start))"
+        )
+    sink = RelationalSink("ohlcv_1m", OHLCV_1M.fieldNames(), lambda: sqlite3.connect(path, timeout=60), mark="?", chunk=3)
+    row = ("AAPL", "Stock", datetime(2024, 1, 27, 10), *[1.0] * 5, 2.0, 5)
+    ddl = "symbol string, asset_class string, window_start timestamp_ntz, open double, high double, low double, close double, volume double, vwap double, tick_count long"
+    live = spark.createDataFrame([row, row], ddl)
+    sink.merge(live, LIVE)
+    bars = spark.createDataFrame(
+        [("AAPL", datetime(2024, 1, 27, 10, m), *["7" if m < 9 else "x"] * 5) for m in range(10)],
+        "symbol string, datetime timestamp_ntz, open string, high string, low string, close string, volume string",
+    )
+    now = datetime(2024, 1, 28)
+    heal_minutes(bars, sink, watchlist_frame(spark, ["AAPL"]), now, rejects=str(tmp_path / "bad"), stored_bars=live)
+    with sqlite3.connect(path) as db:
+        got = db.execute("SELECT window_start, close, vwap, tick_count FROM ohlcv_1m ORDER BY 1").fetchall()
+    assert got[0] == ("2024-01-27 10:00:00", 1.0, 2.0, 5)
+    assert got[1:] == [(f"2024-01-27 10:0{m}:00", 7.0, None, 1) for m in range(1, 9)]
+    assert [r.reject_reason for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["bad_number"]
+
+
 def test_watchlist_setting(monkeypatch):
     monkeypatch.delenv("WATCHLIST", raising=False)
     assert settings.watchlist() == ["AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "TSLA", "META"]
