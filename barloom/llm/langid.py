@@ -28,8 +28,9 @@ EMBEDDING = 6
 EPOCHS = 10
 #: What a text without any letter, or a null, is said to be.
 UNDETERMINED = "und"
-#: A document whose best language gets less than this is rejected by ``identified``.
-MIN_SCORE = 0.35
+#: A document whose best language gets less than this is rejected by ``identified``: hardly more than
+#: chance among four. A text of two languages is kept.
+MIN_SCORE = 0.3
 
 _BATCH = 64
 
