@@ -28,10 +28,6 @@ EMBEDDING = 6
 EPOCHS = 10
 #: What a text without any letter, or a null, is said to be.
 UNDETERMINED = "und"
-#: A document whose best language gets less than this is rejected by ``identified``: hardly more than
-#: chance among four. A text of two languages is kept.
-MIN_SCORE = 0.3
-
 _BATCH = 64
 
 
@@ -209,14 +205,17 @@ def held_out(remainder: int, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language is identified, with their own columns: neither ``und`` nor
-    below ``MIN_SCORE``. The network learns from the labelled ones that ``op7`` learns from."""
+def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+    """The documents whose language is identified, with their own columns: not ``und``, and at
+    least ``min_score``. By default a text of several languages stays, under the strongest.
+
+    The network learns from the labelled ones that ``op7`` learns from; without any, all stay.
+    """
     network = train(docs, ~held_out(2, 4))
     if network is None:
         return docs
     rows, own_columns = aside(docs, "lang_pred", "score")
-    return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)))
+    return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))
 
 
 def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:

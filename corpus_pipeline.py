@@ -19,7 +19,7 @@ from barloom.session import scratch_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, a null text, or no clear language."""
+    """Drops documents without a language: a null text, or one without any letter."""
     return identified(docs)
 
 

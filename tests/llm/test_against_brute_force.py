@@ -51,19 +51,18 @@ TEXTS = ["", " ", "a", "  two  spaces ", "the other", "日本語 text 🙂 mark"
 
 
 def test_pieces_have_the_best_score(model, docs):
+    """Where no character is written in bytes, whose pieces have no score."""
     scores = {t: s for t, s, kind in pieces.read_model(pieces.MODEL)[0] if kind == 1}
-    texts = TEXTS + [t[:150] for _, t in docs[:60]]
+    in_bytes = set(model.byte_ids.tolist())
+    texts = TEXTS + [t[:150].replace("\n", " ") for _, t in docs[:60]]
     ids, bounds = model.encode(texts)
+    compared = 0
     for i, text in enumerate(texts):
-        own = ids[bounds[i] : bounds[i + 1]]
-        total = got = 0.0
-        for piece in own.tolist():
-            got += model.scores[piece]
-        total = best_score(model, scores, text)
-        if not any(ord(c) > 0x2FFF or c in "\t\n\r" for c in text) and model.unknown_id not in own:
-            byte_ids = set(model.byte_ids.tolist())
-            if not byte_ids & set(own.tolist()):
-                assert got == total, text
+        own = ids[bounds[i] : bounds[i + 1]].tolist()
+        if not in_bytes & set(own):
+            assert sum(model.scores[x] for x in own) == best_score(model, scores, text)
+            compared += 1
+    assert compared > 60
 
 
 def test_single_words_as_the_library_ranks_them(model):
