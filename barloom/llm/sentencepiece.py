@@ -27,8 +27,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, MARK = " ", "▁"
 #: What a character outside all pieces costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
-#: Distinct parts whose ids a task remembers; it forgets them all when there are more.
-REMEMBERED = 300_000
+#: Distinct parts whose ids a task remembers in each of two generations. When the younger one
+#: is full, the older one, which holds what was not met since, is forgotten.
+REMEMBERED = 250_000
 
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 
@@ -143,6 +144,7 @@ class Model:
         self.by_word = not any(a != MARK and b == MARK for a, b in inner)
         self.part = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if self.by_word else re.compile(".+", re.DOTALL)
         self.known: dict[str, np.ndarray] = {}
+        self.older: dict[str, np.ndarray] = {}
 
     def normalise(self, text: str) -> str:
         return (SPACE + text if self.prefix and text else text).replace(SPACE, MARK)
@@ -151,11 +153,16 @@ class Model:
         """Ids of all texts, one after the other, and the n + 1 bounds of the texts."""
         parts = [self.part.findall(self.normalise(text)) for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({x for own in parts for x in own if x not in self.known})
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = []
+        for x in {x for own in parts for x in own if x not in known}:
+            if x in older:
+                known[x] = older[x]
+            else:
+                new.append(x)
         for lo in range(0, len(new), 20_000):
-            self.known.update(zip(new[lo : lo + 20_000], self._viterbi(new[lo : lo + 20_000]), strict=True))
-        known = self.known
+            known.update(zip(new[lo : lo + 20_000], self._viterbi(new[lo : lo + 20_000]), strict=True))
         found = [[known[x] for x in own] for own in parts]
         bounds = np.concatenate(([0], np.cumsum([sum(map(len, own)) for own in found]))).astype(np.int64)
         flat = [ids for own in found for ids in own]
@@ -214,7 +221,23 @@ class Model:
                 w = np.flatnonzero(~single & (size == k))
                 if len(w):
                     self._offer(best, piece, back, start, start + k, at[w], np.full(len(w), -1, np.int32), self.unknown)
-        return [self._trace(raw[i], piece[:, i], back[:, i]) for i in range(n)]
+        # back along the best paths, all at once
+        steps, place, live = [], sizes.copy(), np.flatnonzero(sizes)
+        unknown = np.zeros(n, bool)
+        while len(live):
+            ids = np.full(n, -2, np.int32)
+            ids[live] = piece[place[live], live]
+            unknown |= ids == -1
+            steps.append(ids)
+            place[live] = back[place[live], live]
+            live = live[place[live] > 0]
+        paths = np.array(steps[::-1], np.int32).reshape(-1, n).T
+        taken = paths != -2
+        flat, ends = paths[taken], np.cumsum(taken.sum(axis=1)).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.flatnonzero(unknown).tolist():
+            out[i] = self._trace(raw[i], piece[:, i], back[:, i])
+        return out
 
     @staticmethod
     def _offer(best, piece, back, start, end, at, ids, score) -> None:
