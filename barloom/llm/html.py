@@ -174,7 +174,6 @@ class Page:
         for i in range(len(self._open) - 1, 0, -1):
             name = self._open[i][0]
             if name == tag:
-                self._flush()
                 del self._open[i:]
                 return
             if tag in _INNER and name in _FENCE:

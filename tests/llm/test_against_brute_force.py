@@ -120,7 +120,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head>
 <header><h1>Site</h1></header><div class="menu-12"><ul><li><a href="/">Home page of ours</a></li></ul></div>
 <div class="cookie-notice">We use cookies, a lot of them, and this is a long text about them.</div>
 <div id="wrap"><div class="post post-{n}"><h2>Title &amp; more {n}</h2><p>First   para with <b>bold</b>&nbsp;text<br>and a break. {long}
-<p>Unclosed &lt;second&gt; para. {long}<script>var x = "</p><p>no";</script></p><ul><li>item one<li>item two</ul>
+<p>Unclosed &lt;second&gt; <span class="ad">BUY</span>para. {long}<script>var x = "</p><p>no";</script></p><ul><li>item one<li>item two</ul>
 <form><input name=q><button>Go</button></form><div class="ad">Buy now</div></div>
 <div class="sidebar"><p>Popular things here {long}</p></div>
 <section id="comments"><article><p>A reader says something {long}</p></article></section></div>
