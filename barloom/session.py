@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,12 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> tempfile.TemporaryDirectory:
+    """Removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="barloom-", ignore_cleanup_errors=True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -42,7 +49,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="barloom-")
+        base = _local_base().name
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
