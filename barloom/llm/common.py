@@ -80,6 +80,14 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the lower-cased bytes of each span, wherever it stands."""
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[LOWER[data]] * up[: len(data)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 class Words:
     """The words of a block of texts: hash, bounds in the block's bytes, and per text a range."""
 
@@ -94,10 +102,13 @@ class Words:
         last[bounds - 1] = inside[bounds - 1]
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
-        up, down = powers(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[LOWER[data]] * up[: len(data)], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        self.hash = np.empty(len(self.start), np.uint64)
+        lo = 0
+        while lo < len(self.start):  # a block of usual size at once, a very long text in parts
+            at = int(self.start[lo])
+            hi = max(lo + 1, int(np.searchsorted(self.end, at + BLOCK_BYTES, "right")))
+            self.hash[lo:hi] = _hashes(data[at : self.end[hi - 1]], self.start[lo:hi] - at, self.end[lo:hi] - at)
+            lo = hi
         #: Word range of text i: bounds[i] to bounds[i + 1].
         self.bounds = np.searchsorted(self.start, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.bounds))

@@ -450,3 +450,22 @@ def test_sections_of_a_text(spark):
     assert [(r["section"], r["n_tokens"]) for r in rows if r["doc_id"] in (2, 3)] == [(0, 0), (0, 0)]
     lines = token_counts.section_tokens(docs, unit="line").where("doc_id = 1").orderBy("section").collect()
     assert [text[r["start_char"] : r["end_char"]] for r in lines] == text.splitlines(keepends=True)
+
+
+# --- words
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    import pyarrow as pa
+
+    from barloom.llm import common
+
+    texts = ["The cat, the CAT", "", None, "cat" * 50 + " the é É ! 9", "  x", "y", prose(3, 300)]
+    whole = Words(*text_bytes(pa.array(texts)))
+    monkeypatch.setattr(common, "BLOCK_BYTES", 64)
+    parts = Words(*text_bytes(pa.array(texts)))
+    assert (whole.hash == parts.hash).all() and (whole.bounds == parts.bounds).all()
+    names = [w for t in texts for w in words(t)]
+    assert len(whole) == len(names) and len(set(names)) == len(set(whole.hash.tolist()))
+    assert len(set(zip(names, whole.hash.tolist(), strict=True))) == len(set(names))
+    assert [int(n) for n in np.diff(whole.bounds)] == [len(words(t)) for t in texts]
