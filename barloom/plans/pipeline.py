@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from barloom.operators.frames import accepted, mark_records, mark_trades, only_w
 from barloom.operators.merge import LIVE
 from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, SILVER_STORED
 from barloom.sources.mart import Mart, Sink
+from barloom.sources.paths import delete
 from barloom.streaming import jobs
 
 
@@ -81,13 +83,17 @@ def backfill(
     """
     spark = frames.sparkSession
     paths = _paths(root)
-    marked = mark_records(frames) if topic else mark_trades(frames)
+    # Parsed once, and the ids that elements get stay what they are.
+    parsed = f"{root.rstrip('/')}/parsed-{uuid.uuid4().hex}"
+    (mark_records(frames) if topic else mark_trades(frames)).write.parquet(parsed)
+    marked = spark.read.parquet(parsed)
     quarantined(marked).write.mode("append").partitionBy("reject_reason").parquet(paths["rejects"])
     trades = accepted(marked)
     if watchlist is not None:
         trades = only_watched(trades, watchlist)
     jobs.write_bronze(trades, paths["bronze"])
     ends = trades.agg(F.min("source_timestamp"), F.max("source_timestamp")).first()
+    delete(spark, parsed)
     if ends[0] is None:
         return
     bronze = spark.read.schema(BRONZE).parquet(paths["bronze"])
