@@ -74,10 +74,12 @@ def backfill(
     topic: bool = False,
     watchlist: DataFrame | list[str] | None = None,
     days_at_once: int = 31,
+    load_id: int = 0,
 ) -> None:
     """Run a batch of frames through all layers, and stop.
 
     Days are cleaned and aggregated ``days_at_once`` together, so the work at hand has a bound.
+    The clean layer's new ticks are marked with ``load_id``.
     Without streaming state there is no watermark, and no tick is late. What is refused goes
     to the quarantine, as in the live path.
     """
@@ -101,7 +103,7 @@ def backfill(
     days = sorted("-".join(r) for r in between_dates(bronze, *span).select(*DATE_PARTS).distinct().collect())
     for i in range(0, len(days), days_at_once):
         first, last = days[i], days[min(i + days_at_once, len(days)) - 1]
-        jobs.append_silver(between_dates(bronze, first, last), paths["silver"])
+        jobs.append_silver(between_dates(bronze, first, last), paths["silver"], load_id)
         silver = spark.read.schema(SILVER_STORED).parquet(paths["silver"])
         mart.merge(candles(between_dates(silver, first, last)), LIVE)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.operators.candles import candles
 from barloom.operators.silver import to_silver
 from barloom.plans.replay import register_views, replay
-from barloom.schemas import BRONZE, OHLCV_1M, SILVER, TRADE
+from barloom.schemas import BRONZE, OHLCV_1M, SILVER, SILVER_STORED, TRADE
 from barloom.sources.connectors import read_frames, read_silver
 from barloom.sources.mart import Mart
 from barloom.streaming import jobs
@@ -296,7 +296,8 @@ def test_backfill_loses_nothing(spark, tmp_path):
     got = {(r.symbol, r.window_start): r.tick_count for r in mart.read().collect()}
     assert got == {("AAPL", clock(0)): 2} | {("MSFT", clock(60 * 24 * d)): 1 for d in range(4)}
     assert sorted(r.reject_reason for r in spark.read.parquet(f"{root}/rejects").collect()) == ["bad_json", "bad_price"]
-    backfill(frames, root, mart, watchlist=["AAPL"])
+    backfill(frames, root, mart, watchlist=["AAPL"], load_id=7)
+    assert spark.read.schema(SILVER_STORED).parquet(f"{root}/silver").filter("load_id <> 0").count() == 0
     assert {(r.symbol, r.window_start): r.tick_count for r in mart.read().collect()} == got
 
 
