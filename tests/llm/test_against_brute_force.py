@@ -391,6 +391,17 @@ def test_scores_of_the_plain_model(spark):
         assert got[100 + i] == pytest.approx(want, abs=0.01)
 
 
+def test_n_grams_seen_twice_count_in_a_large_corpus(spark):
+    """Among 1.8 million tokens a share of 2e-6 is more than three occurrences."""
+    train = [prose(1, 30_000)] * 60 + ["rare pair here", "rare pair here", "a rare bird"]
+    held = ["rare pair here", "pair here", "a rare pair", "unseen rare pair"]
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(100 + i, t, False) for i, t in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in ngram.score_documents(docs, lambda: F.col("learn")).collect()}
+    for i, want in enumerate(plain_scores(train, held)):
+        assert got[100 + i] == pytest.approx(want, abs=0.01)
+
+
 def test_rare_words_by_join(spark, docs, monkeypatch):
     usual = {r["doc_id"]: r for r in ngram.op8_elias_fano(spark, SF_DIR).collect()}
     monkeypatch.setattr(ngram, "COUNT_SHARE", 1e-3)
