@@ -86,13 +86,13 @@ class Index:
         items: dict[int, set[int]] = defaultdict(set)
         seen = set()
         for at, item, offset in self.candidates(words):
-            if (at - offset, item) in seen:
-                continue
             text = int(words.text[at])
+            if (text, at - offset, item) in seen:
+                continue
             own = self.words[item]
             lo = max(int(words.bounds[text]), at - offset)
             hi = min(int(words.bounds[text + 1]), at - offset + len(own))
-            seen.add((at - offset, item))
+            seen.add((text, at - offset, item))
             same = words.hash[lo:hi] == own[lo - (at - offset) : hi - (at - offset)]
             edges = np.flatnonzero(np.diff(np.concatenate(([0], same, [0]))))
             for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):

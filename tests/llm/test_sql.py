@@ -39,6 +39,19 @@ def plain_contamination(text, items):
     return len(w), len(hit), len(found), bool(hit)
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_an_item_split_over_two_documents(spark, limit):
+    """Both parts are on one diagonal of the block."""
+    item = prose(900, 26)
+    own = item.split()
+    texts = [prose(901, 20) + " " + " ".join(own[:13]), " ".join(own[13:]) + " " + prose(902, 20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench, limit).collect()}
+    for i in (0, 1):
+        assert (got[i]["n_hit"], got[i]["n_items"], got[i]["contaminated"]) == (13, 1, True)
+
+
 @pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
 def test_contamination_by_both_ways(spark, limit):
     a, b = prose(1, 40), prose(2, 12)
