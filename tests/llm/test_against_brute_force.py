@@ -298,6 +298,14 @@ def test_equal_samples_are_as_many_as_the_similarity():
     assert all(abs(x - y) < 0.2 for x, y in found)
 
 
+def test_the_filter_loses_less_than_the_bands():
+    """Of pairs at the threshold, before any is verified."""
+    p, n = neardup.SIMILARITY, neardup.SAMPLES
+    least = math.ceil(neardup.AGREEMENT * n)
+    filtered = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(least))
+    assert filtered < (1 - p**neardup.ROWS) ** (n // neardup.ROWS)
+
+
 # --- op7
 
 
