@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.session import scratch_dir
+from barloom.sources.paths import delete
 
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -186,6 +187,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Tables between the steps of one call, deleted when it is over.
+
+    ``with Scratch(spark) as scratch``: what ``scratch.stored`` returns holds within the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_dir(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from barloom.llm.decontaminate import OP1_SQL, op1_winnowing
+from barloom.llm.exact import OP13_SQL, op13_block_naming
 from barloom.llm.fingerprints import op5_bottom_k
 from barloom.llm.html import op3_host_consensus
 from barloom.llm.langid import op7_byte_network
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_elias_fano": op8_elias_fano,
     "op9_license_sentences": op9_license_sentences,
     "op10_section_tokens": op10_section_tokens,
+    "op13_block_naming": op13_block_naming,
 }
 
 ORACLE = {
     "op1_winnowing": OP1_SQL,
     "op4_line_spread": OP4_SQL,
     "op9_license_sentences": OP9_SQL,
+    "op13_block_naming": OP13_SQL,
 }

@@ -42,6 +42,7 @@ CLASHES = (
     "n_words n_hit n_items items_sha256 contaminated token_ids n_tokens decoded round_trip lang_pred score section start_char end_char n_crossing"
     " n_lines n_removed n_chars_removed line site h1 h2 fingerprint n_shingles class_id class_size node label key band times n words sentence_ids licenses"
     " n_sentences n_known train_tokens base_score held_out host path"
+    " keep_id group_size kept text_sha256 level name labels pos _row n_runs runs collapsed start length period"
 ).split()
 
 

@@ -8,6 +8,7 @@ from conftest import CLASHES, ODD, SCHEMA
 from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import contamination
+from barloom.llm.exact import exact_groups
 from barloom.llm.fingerprints import edited_fingerprints, fingerprint_documents
 from barloom.llm.html import extract_pages
 from barloom.llm.langid import held_out, predict, train
@@ -31,6 +32,7 @@ OPERATORS = {
     "model": lambda docs: score_documents(docs, lambda: ~held_out(1, 5)),
     "licenses": scan_licenses,
     "sections": section_tokens,
+    "exact": exact_groups,
 }
 ROW_EACH = set(OPERATORS) - {"sections"}
 
