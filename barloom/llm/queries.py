@@ -11,6 +11,7 @@ from barloom.llm.licenses import OP9_SQL, op9_license_sentences
 from barloom.llm.lines import OP4_SQL, op4_line_spread
 from barloom.llm.neardup import op6_weighted_sampling
 from barloom.llm.ngram import op8_elias_fano
+from barloom.llm.periods import op12_recompression
 from barloom.llm.sentencepiece import op2_unigram_pieces
 from barloom.llm.token_counts import op10_section_tokens
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_elias_fano": op8_elias_fano,
     "op9_license_sentences": op9_license_sentences,
     "op10_section_tokens": op10_section_tokens,
+    "op12_recompression": op12_recompression,
     "op13_block_naming": op13_block_naming,
 }
 

@@ -16,6 +16,7 @@ from barloom.llm.licenses import scan_licenses
 from barloom.llm.lines import dedup_lines
 from barloom.llm.neardup import near_duplicate_classes
 from barloom.llm.ngram import score_documents
+from barloom.llm.periods import periodic_runs
 from barloom.llm.sentencepiece import encode_documents
 from barloom.llm.token_counts import section_tokens
 
@@ -33,6 +34,7 @@ OPERATORS = {
     "licenses": scan_licenses,
     "sections": section_tokens,
     "exact": exact_groups,
+    "runs": periodic_runs,
 }
 ROW_EACH = set(OPERATORS) - {"sections"}
 

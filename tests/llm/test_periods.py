@@ -1,0 +1,149 @@
+"""Periodic runs against plain search."""
+
+import hashlib
+import os
+import re
+import zlib
+
+import numpy as np
+import pytest
+from conftest import ODD, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from barloom.llm import periods
+from barloom.llm.common import read
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words):
+    """(start, length, period) of every run: for each period, the stretches of equal words one period apart."""
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def plain_runs_in_order(words):
+    return sorted(plain_runs(words), key=lambda r: (r[0], r[2]))
+
+
+def plain_collapsed(words, runs):
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def found_in(texts):
+    block = periods._Block()
+    for text in texts:
+        block.add(text.encode())
+    counts, runs, collapsed = block.results()
+    return counts.to_pylist(), [[tuple(r.values()) for r in x] for x in runs.to_pylist()], collapsed.to_pylist()
+
+
+def check(texts):
+    counts, runs, collapsed = found_in(texts)
+    for i, text in enumerate(texts):
+        words = WORD.findall(text)
+        assert counts[i] == len(words)
+        assert runs[i] == plain_runs_in_order(words)
+        assert collapsed[i] == plain_collapsed(words, runs[i])
+
+
+part = st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=6), st.integers(1, 9))
+text = st.lists(part, max_size=8).map(lambda parts: " ".join(w for words, n in parts for w in words * n))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(text, min_size=1, max_size=4))
+def test_runs_equal_plain_search(texts):
+    check(texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=2, max_size=60), st.integers(1, 6), st.data())
+def test_extensions_are_exact(words, times, data):
+    text = np.array(words * times + [3], np.int32)
+    grammar = periods.Grammar(text, 4)
+    x = data.draw(st.integers(0, len(text) - 2))
+    y = data.draw(st.integers(x + 1, len(text) - 1))
+    for step in (1, -1):
+        n = 0
+        while 0 <= x + step * n and 0 <= y + step * n < len(text) and text[x + step * n] == text[y + step * n]:
+            n += 1
+        assert grammar.extension(np.array([x]), np.array([y]), step)[0] == n
+
+
+def test_runs_within_runs_and_across_texts():
+    inner = "a a a a a a a b "
+    check(["a " * 5, "a " * 3, inner * 9, "x " + inner * 5 + "y", "a " * 40 + "b " * 6 + "a b " * 8, "", " \n ", prose(1, 300) + " " + prose(2, 7) * 6])
+
+
+@pytest.mark.parametrize("few", [1, 7, 1 << 16])
+def test_many_candidates_in_parts(monkeypatch, few):
+    monkeypatch.setattr(periods, "_CANDIDATES", few)
+    check(["a b a b a b a b c " * 12 + prose(3, 40), " ".join(f"a x{i}" for i in range(60)), "z " * 200])
+
+
+def test_very_long_texts():
+    """A repeated word, a period of two, every second word equal, and a period beyond a part of the text."""
+    n = 300_000
+    long = (prose(4, 90_000) + " ") * 4
+    counts, runs, collapsed = found_in(["a " * n, "a b " * n, " ".join(f"a x{i}" for i in range(n)), long])
+    assert runs == [[(0, n, 1)], [(0, 2 * n, 2)], [], [(0, 360_000, 90_000)]]
+    assert collapsed[0] == "a" and collapsed[1] == "a b" and collapsed[3] == long[: len(long) // 4 - 1]
+
+
+def test_words_are_told_apart_by_all_bytes():
+    check(["É é É é É é É é É é É é", "\xa0 \xa0 \xa0 \xa0 \xa0 \xa0", "a\x0bb\x0ca b a b\ta b", "\x1c x \x1c x \x1c x \x1c x"])
+
+
+def plain_edit(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_query_against_plain_search(spark):
+    docs = {r["doc_id"]: r["text"] for r in read(spark, SF_DIR, "documents").collect()}
+    rows = periods.op12_recompression(spark, SF_DIR).collect()
+    assert len(rows) == len(docs)
+    edited = 0
+    for r in rows:
+        words = plain_edit(r["doc_id"], WORD.findall(docs[r["doc_id"]] or ""))
+        edited += zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0
+        runs = plain_runs_in_order(words)
+        best = max(runs, key=lambda x: (x[1] / x[2], -x[0], -x[2]), default=(None,) * 3)
+        assert (r["n_runs"], r["start"], r["length"], r["period"]) == (len(runs), *best)
+        assert r["exponent_milli"] == (1000 * best[1] // best[2] if runs else None)
+        assert r["runs_sha256"] == sha("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+        assert r["collapsed_sha256"] == sha(plain_collapsed(words, runs))
+    assert edited > 10 and any(r["n_runs"] for r in rows)
+
+
+def test_tails_of_odd_rows(spark, odd):
+    rows = periods.with_repeated_tails(odd).collect()
+    assert sorted((str(r["doc_id"]), WORD.findall(r["text"] or "")) for r in rows) == sorted(
+        (str(x[0]), WORD.findall(x[1] or "") if x[0] is None else plain_edit(x[0], WORD.findall(x[1] or ""))) for x in ODD
+    )
+    for g in range(40):
+        words = prose(5, 23).split()
+        a, p = g % 23, 1 + (23 - g % 23) // (3 + g % 8)
+        assert periods.repeated_tail(" \n" + "\t ".join(words) + "\n", g).split() == [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
