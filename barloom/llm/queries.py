@@ -14,6 +14,7 @@ from barloom.llm.ngram import op8_elias_fano
 from barloom.llm.periods import op12_recompression
 from barloom.llm.sentencepiece import op2_unigram_pieces
 from barloom.llm.token_counts import op10_section_tokens
+from barloom.llm.whitening import op11_chebyshev
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_elias_fano": op8_elias_fano,
     "op9_license_sentences": op9_license_sentences,
     "op10_section_tokens": op10_section_tokens,
+    "op11_chebyshev": op11_chebyshev,
     "op12_recompression": op12_recompression,
     "op13_block_naming": op13_block_naming,
 }
