@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.symbols import asset_class
 from barloom.functions.times import ms_to_instant
-from barloom.schemas import SILVER, SILVER_PARTITIONS, SILVER_STORED
-from barloom.sources.paths import exists
+from barloom.schemas import SILVER, SILVER_PARTITIONS
+from barloom.sources.layers import stored_ids
 
 
 # NaN orders above infinity in Spark, so the upper bound is what turns it away.
@@ -72,20 +74,20 @@ def enforce(ticks: DataFrame) -> DataFrame:
     return ticks.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER))
 
 
-def not_stored(silver: DataFrame, path: str) -> DataFrame:
+def not_stored(silver: DataFrame, path: str, wanted: Callable[[int], bool] = lambda load: True) -> DataFrame:
     """The ticks whose id the stored layer lacks, in the directories they belong to.
 
-    Only those directories are read, and of them only the ids. The driver learns the
+    Only those directories are read, of them only the loads for which ``wanted(load_id)``
+    holds, and of these only the ids. A missing id counts as an id. The driver learns the
     directories of one batch, never rows.
     """
-    spark = silver.sparkSession
-    parts = [F.col(c) for c in SILVER_PARTITIONS]
-    name = F.concat_ws("/", *parts)
-    touched = [r[0] for r in silver.select(name).distinct().collect()]
-    if not touched or not exists(spark, path):
+    parts = [F.concat(F.lit(f"{c}="), F.col(c)) for c in SILVER_PARTITIONS]
+    touched = [r[0] for r in silver.select(F.concat_ws("/", *parts)).distinct().collect()]
+    stored = stored_ids(silver.sparkSession, path.rstrip("/"), touched, wanted)
+    if stored is None:
         return silver
-    stored = spark.read.schema(SILVER_STORED).parquet(path).filter(name.isin(touched))
-    return silver.join(stored.select("event_id"), "event_id", "left_anti").select(*silver.columns)
+    stored = stored.select(F.col("event_id").alias("_stored"))
+    return silver.join(stored, F.col("event_id").eqNullSafe(F.col("_stored")), "left_anti")
 
 
 def to_silver(bronze: DataFrame, dedup: str = "global") -> DataFrame:
@@ -94,6 +96,16 @@ def to_silver(bronze: DataFrame, dedup: str = "global") -> DataFrame:
     return enforce(dedupe(ticks, dedup))
 
 
+def first_seen(silver: DataFrame, memory: str) -> DataFrame:
+    """Of a stream, the ticks whose id has not come within ``memory``; of copies in one batch any.
+
+    The clock of the state is the time of the batch, not of the tick: a tick is never late,
+    however old its trade. An id is held for ``memory`` at least and twice that at most.
+    """
+    seen = silver.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", memory)
+    return seen.dropDuplicatesWithinWatermark(["event_id"]).drop("_seen")
+
+
 def quality_counters(bronze: DataFrame) -> DataFrame:
     """One row: ticks read, valid, distinct among the valid, and dropped."""
     per_id = (

@@ -17,6 +17,10 @@ GOLD_TRIGGER = "30 seconds"
 # How far ahead of its arrival a tick may claim to be, before it is kept out of the candles.
 FUTURE_SKEW_MS = 300_000
 
+# How long the clean layer's stream remembers an id before it looks it up: over a day, so that
+# the loads of the day at hand are never read again.
+ID_MEMORY = "26 hours"
+
 # How far the batch jobs look back.
 HEAL_LOOKBACK_DAYS = 6
 DAILY_HISTORY_YEARS = 3

@@ -7,7 +7,7 @@ backfills and tests run the very same code.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from barloom.functions.times import width_micros
 from barloom.operators.bronze import to_bronze
 from barloom.operators.candles import candles
 from barloom.operators.frames import accepted, mark_records, mark_trades, only_watched, quarantined
 from barloom.operators.merge import LIVE
-from barloom.operators.silver import not_stored, split_future, to_silver
+from barloom.operators.silver import first_seen, not_stored, split_future, to_silver
 from barloom.schemas import BRONZE, DATE_PARTS, SILVER_PARTITIONS, SILVER_STORED
 from barloom.session import ROCKSDB
-from barloom.settings import CANDLE_WIDTH, FUTURE_SKEW_MS, WATERMARK
+from barloom.settings import CANDLE_WIDTH, FUTURE_SKEW_MS, ID_MEMORY, WATERMARK
 from barloom.sources.mart import Sink
 from barloom.sources.paths import make_folder
+from barloom.streaming.loads import Loads
 from barloom.streaming.metrics import observed, report
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -111,20 +113,28 @@ def stream_bronze(
 
 
 def write_silver(silver: DataFrame, path: str, load_id: int = 0) -> None:
-    """Append ticks, marked with the number of their load."""
+    """Append ticks, in directories of their load."""
     rows = silver.withColumn("load_id", F.lit(load_id).cast("bigint"))
     rows = _by_partition(rows.select(*SILVER_STORED.fieldNames()), SILVER_PARTITIONS)
-    rows.write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(path)
+    rows.write.mode("append").partitionBy(*SILVER_PARTITIONS, "load_id").parquet(path)
 
 
 def append_silver(bronze: DataFrame, path: str, load_id: int = 0) -> None:
     """Clean a batch of the raw layer and append the ticks that are not yet stored.
 
-    However late a tick is, it is kept; a batch that is replayed adds nothing again.
+    However late a tick is, it is kept; a batch that is replayed adds nothing again. A number
+    belongs to one load: beside a live query, which counts from 0, take a negative one.
     """
-    silver = to_silver(bronze).persist()
+    _append(to_silver(bronze), path, load_id, lambda load: True)
+
+
+def _append(silver: DataFrame, path: str, load_id: int, wanted: Callable[[int], bool]) -> None:
+    """Append the ticks that the ``wanted`` loads lack. No ticks leave no trace."""
+    silver = silver.persist()
     try:
-        fresh = not_stored(silver, path)
+        if silver.isEmpty():
+            return
+        fresh = not_stored(silver, path, wanted)
         report("silver_kept", fresh)
         write_silver(fresh, path, load_id)
     finally:
@@ -132,25 +142,43 @@ def append_silver(bronze: DataFrame, path: str, load_id: int = 0) -> None:
 
 
 def start_silver(
-    bronze: DataFrame, path: str, checkpoint: str, every: str | None = None, dedup: str = "stored"
+    bronze: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    dedup: str = "state",
+    memory: str = ID_MEMORY,
 ) -> StreamingQuery:
-    """Raw layer to the clean layer; the batch's number is stored as ``load_id``.
+    """Raw layer to the clean layer; the number of the load is stored as ``load_id``.
+
+    ``state`` remembers the ids of the last ``memory`` in the query's state and looks up, in
+    the directories the batch touches, only the loads before that, so what a batch reads does
+    not grow with the day. ``stored`` looks up all loads. Both recognise a redelivery in any
+    later batch. ``batch`` forgets between batches. However late a tick is, it is kept.
 
-    ``stored`` looks ids up in the directories the batch touches, so a redelivery in any
-    later batch is recognised. ``batch`` forgets between batches.
+    A replayed batch reads back its own load and adds what is missing of it, if anything.
     """
-    if dedup not in ("stored", "batch"):
+    if dedup not in ("state", "stored", "batch"):
         raise ValueError(f"unknown dedup {dedup!r}")
+    spark = bronze.sparkSession
+    make_folder(spark, path)
+    loads = Loads(spark, path, checkpoint, width_micros(memory) // 1000)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        if dedup == "stored":
-            append_silver(batch, path, batch_id)
+        own = loads.number(batch_id)
+        if dedup == "state":
+            known = loads.remembered(own)
+            _append(batch, path, own, lambda load: load not in known)
+        elif dedup == "stored":
+            append_silver(batch, path, own)
         else:
-            write_silver(to_silver(batch), path, batch_id)
+            _append(to_silver(batch), path, own, own.__eq__)
 
-    make_folder(bronze.sparkSession, path)
-    read = observed(bronze, "silver_read")
-    return _start(read.writeStream.foreachBatch(append), checkpoint, every)
+    ticks = observed(bronze, "silver_read")
+    if dedup == "state":
+        ticks = first_seen(to_silver(ticks, "none"), memory)
+    with _rocksdb(spark):
+        return _start(ticks.writeStream.foreachBatch(append), checkpoint, every)
 
 
 def stream_silver(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

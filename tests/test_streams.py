@@ -130,7 +130,7 @@ def test_failed_write_fails_the_query(spark, tmp_path):
     assert good.read().count() == 1
 
 
-@pytest.mark.parametrize(("dedup", "kept"), [("stored", 2), ("batch", 3)])
+@pytest.mark.parametrize(("dedup", "kept"), [("state", 2), ("stored", 2), ("batch", 3)])
 def test_redelivery_in_a_later_batch(spark, tmp_path, dedup, kept):
     bronze = str(tmp_path / "bronze")
     land(spark, bronze, [trade("a", at(0)), trade("a", at(0)), trade("z", at(0), -1.0)], "f1")
@@ -312,3 +312,83 @@ def test_corrupt_files_can_be_skipped(spark, tmp_path):
     lenient = jobs.stream_bronze(spark, str(path), skip_corrupt=True)
     jobs.start_silver(lenient, str(tmp_path / "s2"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.schema(SILVER).parquet(str(tmp_path / "s2")).count() == 1
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("dedup", ["state", "stored", "batch"])
+def test_a_batch_that_is_replayed_after_its_write_adds_nothing(spark, tmp_path, monkeypatch, dedup):
+    """The query fails between the write and the commit; rows without an id are rows too."""
+    bronze, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    land(spark, bronze, [trade("a", at(0)), trade(None, at(3)), trade("b", at(60 * 24))], "f1")
+    write, calls = jobs.write_silver, []
+
+    def failing(silver, path, load_id=0):
+        if not calls:  # the first attempt leaves only a part of its load
+            silver = silver.where("event_id = 'a'")
+        write(silver, path, load_id)
+        calls.append(load_id)
+        if len(calls) < 3:
+            raise Stopped("after the write")
+
+    monkeypatch.setattr(jobs, "write_silver", failing)
+    for _ in range(2):
+        with pytest.raises(Exception, match="after the write"):
+            jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, ck, dedup=dedup).awaitTermination()
+    jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, ck, dedup=dedup).awaitTermination()
+    assert calls == [0, 0, 0]
+    rows = spark.read.schema(SILVER_STORED).parquet(out).collect()
+    assert sorted((str(r.event_id), r.load_id) for r in rows) == [("None", 0), ("a", 0), ("b", 0)]
+
+
+def looked_up(monkeypatch):
+    """The loads that each batch reads back, filled as batches run."""
+    from barloom.operators import silver
+
+    read, seen = silver.stored_ids, []
+
+    def spy(spark, path, directories, wanted):
+        loads = set()
+        found = read(spark, path, directories, lambda n: wanted(n) and (loads.add(n) or True))
+        seen.append(loads)
+        return found
+
+    monkeypatch.setattr(silver, "stored_ids", spy)
+    return seen
+
+
+def test_what_a_batch_reads_back_does_not_grow_with_the_day(spark, tmp_path, monkeypatch):
+    bronze, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    seen = looked_up(monkeypatch)
+    for i in range(4):
+        land(spark, bronze, [trade("a", at(0)), trade(f"b{i}", at(i)), trade(f"late{i}", at(-60 * 24 * i))], f"f{i}")
+    jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, ck).awaitTermination()
+    assert seen == [set()] * 4
+    assert spark.read.schema(SILVER).parquet(out).count() == 9
+    # a new query over the layer remembers nothing: it counts on and looks all up
+    jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, str(tmp_path / "other")).awaitTermination()
+    assert seen[4:] == [{0, 1, 2, 3}] * 4
+    assert spark.read.schema(SILVER_STORED).parquet(out).count() == 9
+
+
+def test_loads_before_the_memory_are_looked_up(spark, tmp_path, monkeypatch):
+    bronze, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    seen = looked_up(monkeypatch)
+    for i in range(3):
+        land(spark, bronze, [trade("a", at(0)), trade(f"b{i}", at(i))], f"f{i}")
+        jobs.start_silver(files_as_stream(spark, bronze, BRONZE), out, ck, memory="1 second").awaitTermination()
+    assert [len(x) for x in seen] == [0, 1, 2]
+    assert sorted(r.event_id for r in spark.read.schema(SILVER).parquet(out).collect()) == ["a", "b0", "b1", "b2"]
+
+
+def test_which_loads_the_state_remembers(spark, tmp_path):
+    from barloom.streaming.loads import Loads
+
+    loads = Loads(spark, str(tmp_path), "ck", 64_000)
+    assert [loads.remembered(n, t) for n, t in ((0, 0), (1, 900), (2, 1000), (3, 30_000))] == [range(0, n) for n in range(4)]
+    assert loads.remembered(4, 64_500) == range(2, 4)  # loads 0 and 1 may be forgotten
+    assert loads.remembered(3, 64_600) == range(2, 3)  # a replay
+    assert loads.remembered(5, 200_000) == range(5, 5)
+    assert Loads(spark, str(tmp_path), "ck/", 64_000).number(7) == 7
