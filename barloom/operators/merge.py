@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -20,10 +20,13 @@ class UpsertRule:
 
     ``update`` columns are replaced on a match. Every other column keeps its stored
     value, and on insert takes the source's value or else its ``insert_default``.
+    ``when`` names a match that is updated at all, as SQL over the stored row ``t`` and the
+    source row ``s``; unknown is no.
     """
 
     update: tuple[str, ...]
     insert_defaults: Mapping[str, Any] = field(default_factory=dict)
+    when: str | None = None
 
 
 # Live candles replace everything but the asset class.
@@ -32,6 +35,11 @@ LIVE = UpsertRule(update=(*OHLCV, "vwap", "tick_count", "created_at"))
 DAILY = UpsertRule(update=(*OHLCV, "created_at"))
 # Healed bars keep a stored vwap and tick count; a new one has neither.
 HEAL = UpsertRule(update=(*OHLCV, "created_at"), insert_defaults={"vwap": None, "tick_count": 1})
+# As LIVE, whatever the order in which candles of one window are written: a window only gains
+# ticks, so the candle of more ticks is the later one. Any replaces a healed bar, whose vwap is unknown.
+GROWING = replace(LIVE, when="t.vwap IS NULL OR s.tick_count >= t.tick_count")
+# As HEAL, but a bar made of ticks stays what it is, so no vwap stands beside prices it is not of.
+HEAL_MISSING = replace(HEAL, when="t.vwap IS NULL")
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -64,11 +72,12 @@ def merge_upsert(
     s = source.withColumn("_in_s", F.lit(True)).alias("s")
     joined = t.join(s, list(keys), "full_outer")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
+    updated = in_s if rule.when is None else in_s & (~in_t | F.coalesce(F.expr(rule.when), F.lit(False)))
 
     def value(name: str) -> Column:
         stored = F.col(f"t.`{name}`")
         if name in rule.update and name in source.columns:
-            return F.when(in_s, F.col(f"s.`{name}`")).otherwise(stored)
+            return F.when(updated, F.col(f"s.`{name}`")).otherwise(stored)
         if name in source.columns:
             return F.when(in_t, stored).otherwise(F.col(f"s.`{name}`"))
         default = F.lit(rule.insert_defaults.get(name)).cast(target.schema[name].dataType)

@@ -192,6 +192,15 @@ ORACLE: dict[str, str] = {
         watch=True,
     ),
     "merge_heal": _with_bars("minute", _HEALED, watch=True),
+    "merge_precedence": _with_bars(
+        "minute",
+        """ SELECT symbol, asset_class, window_start,
+                   open + healed AS open, high + healed AS high, low + healed AS low,
+                   close + healed AS close, volume + healed AS volume,
+                   CASE WHEN healed = 0 THEN vwap END AS vwap,
+                   CASE WHEN healed = 0 THEN tick_count ELSE 1 END AS tick_count
+            FROM (SELECT *, CASE WHEN minute(window_start) % 2 = 0 THEN 0 ELSE 200 END AS healed FROM b)""",
+    ),
     "heal_gaps": _with_bars(
         "minute",
         """ SELECT symbol, asset_class, window_start, open, high, low, close, volume
@@ -267,6 +276,7 @@ ORACLE: dict[str, str] = {
         where="CAST(trade_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24'",
     ),
     "stream_candles": _with_bars("hour", " SELECT * FROM b"),
+    "late_repair": _with_bars("hour", " SELECT * FROM b"),
     "medallion": f"""{_TICKS.replace("v AS (", "v1 AS (")},
         v AS (SELECT * FROM v1 UNION ALL SELECT * FROM v1 WHERE n % 10 = 0),
         b AS ({_bars("minute")}) SELECT * FROM b""",

@@ -13,11 +13,12 @@ from barloom import settings
 from barloom.operators.bronze import between_dates
 from barloom.operators.candles import candles
 from barloom.operators.frames import accepted, mark_records, mark_trades, only_watched, quarantined
-from barloom.operators.merge import LIVE
+from barloom.operators.merge import GROWING, LIVE
 from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, SILVER_STORED
 from barloom.sources.mart import Mart, Sink
 from barloom.sources.paths import delete
 from barloom.streaming import jobs
+from barloom.streaming.repair import start_repair
 
 
 EPOCH = datetime(1970, 1, 1)
@@ -63,6 +64,15 @@ def start_live(
             mart,
             paths["ck_gold"],
             settings.GOLD_TRIGGER,
+            rule=GROWING,
+        ),
+        start_repair(
+            jobs.stream_silver(spark, paths["silver"]),
+            paths["silver"],
+            mart,
+            paths["late"],
+            paths["ck_late"],
+            settings.GOLD_TRIGGER,
         ),
     ]
 
@@ -110,6 +120,6 @@ def backfill(
 
 def _paths(root: str) -> dict[str, str]:
     base = root.rstrip("/")
-    layers = {name: f"{base}/{name}" for name in ("bronze", "rejects", "silver")}
-    marks = {f"ck_{n}": f"{base}/checkpoints/{n}" for n in ("bronze", "rejects", "silver", "gold")}
+    layers = {name: f"{base}/{name}" for name in ("bronze", "rejects", "silver", "late")}
+    marks = {f"ck_{n}": f"{base}/checkpoints/{n}" for n in ("bronze", "rejects", "silver", "gold", "late")}
     return layers | marks

@@ -14,7 +14,7 @@ from barloom.operators import frames as FR
 from barloom.operators.bronze import partition_counts, to_bronze
 from barloom.operators.candles import candles, distinct_symbols
 from barloom.operators.lookup import high_watermark, watchlist_frame
-from barloom.operators.merge import DAILY, HEAL, LIVE, merge_upsert
+from barloom.operators.merge import DAILY, GROWING, HEAL, HEAL_MISSING, LIVE, merge_upsert
 from barloom.operators.silver import (
     clean,
     first_per_key,
@@ -33,6 +33,7 @@ from barloom.session import scratch_dir, stored
 from barloom.sources.connectors import read_silver
 from barloom.sources.mart import Mart
 from barloom.streaming import jobs
+from barloom.streaming.repair import start_repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -394,22 +395,50 @@ def replay_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly candles of four files in a stream: two cuts go through an hour, whose candles
-    are written again, and the last file holds ticks that come too late."""
+    """Hourly candles of a stream in four runs: two cuts go through an hour, whose candles
+    are written again, and the last part holds ticks that come too late."""
     root = scratch_dir(spark, "stream")
     ticks = T.trades(spark, sf_dir)
     cuts = [F.lit(0), *(F.lit(ms) for ms in CUTS), F.lit(2**62)]
     parts = [ticks.filter(F.col("source_timestamp").between(a, b - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
     late = ticks.filter(F.col("source_timestamp") < CUTS[0] - 86_400_000).withColumn("price", F.lit(1e6))
+    mart = Mart(spark, f"{root}/ohlcv_1h", OHLCV_1M, grain="day")
     for i, part in enumerate([*parts, late]):
-        to_silver(to_bronze(part), "none").coalesce(1).write.parquet(f"{root}/in/{i}")
-    source = spark.readStream.schema(SILVER).option("maxFilesPerTrigger", 1)
-    source = source.option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        to_silver(to_bronze(part), "none").write.parquet(f"{root}/in/{i}")
+        source = spark.readStream.schema(SILVER).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        jobs.start_gold(source, mart, f"{root}/ck", width="1 hour").awaitTermination()
+    return _comparable(mart.read().drop("created_at"))
+
+
+def late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles of a stream in three runs, each over the whole time: after the first,
+    nearly every tick comes behind the watermark."""
+    root = scratch_dir(spark, "late")
+    ticks = to_bronze(T.trades(spark, sf_dir))
+    part = F.col("event_id").cast("bigint") % 3
     mart = Mart(spark, f"{root}/ohlcv_1h", OHLCV_1M, grain="day")
-    jobs.start_gold(source, mart, f"{root}/ck", width="1 hour").awaitTermination()
+    for i in range(3):
+        jobs.append_silver(ticks.filter(part == i), f"{root}/silver", i)
+        how = {"width": "1 hour", "skew_ms": None}
+        jobs.start_gold(jobs.stream_silver(spark, f"{root}/silver"), mart, f"{root}/ck", rule=GROWING, **how).awaitTermination()
+        layer = jobs.stream_silver(spark, f"{root}/silver")
+        start_repair(layer, f"{root}/silver", mart, f"{root}/late", f"{root}/ck_late", **how).awaitTermination()
     return _comparable(mart.read().drop("created_at"))
 
 
+def merge_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Healed bars every fifth minute first, then live candles of every second minute, then a
+    heal of all: a live candle replaces a healed bar, a heal only what is missing or healed."""
+    minutes = stored(candles_1m(spark, sf_dir), "candles")
+    n = F.minute("window_start")
+    healed = minutes.drop("vwap", "tick_count")
+    shifted = [healed.withColumns({c: F.col(c) + by for c in B.OHLCV}) for by in (100, 200)]
+    before = minutes.filter("false")
+    first = merge_upsert(before, shifted[0].filter(n % 5 == 0), HEAL_MISSING, unique=True)
+    second = merge_upsert(first, minutes.filter(n % 2 == 0), GROWING, unique=True)
+    return merge_upsert(second, shifted[1], HEAL_MISSING, unique=True)
+
+
 def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames to bronze to silver to candles, as a backfill."""
     root = scratch_dir(spark, "medallion")
@@ -452,6 +481,7 @@ QUERIES: dict[str, Query] = {
         merge_candles,
         merge_daily,
         merge_heal,
+        merge_precedence,
         heal_gaps,
         raw_backup,
         daily_load,
@@ -463,6 +493,7 @@ QUERIES: dict[str, Query] = {
         gap_minutes,
         replay_day_range,
         stream_candles,
+        late_repair,
         medallion,
         medallion_rejects,
     )

@@ -5,6 +5,7 @@ Kafka and Delta need their jars on the cluster; nothing else here depends on the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -108,7 +109,7 @@ def merge_statement(
         values.setdefault(name, "NULL" if default is None else repr(default))
     return (
         f"MERGE INTO {target} t USING s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {updates} "
+        f"WHEN MATCHED{f' AND ({rule.when})' if rule.when else ''} THEN UPDATE SET {updates} "
         f"WHEN NOT MATCHED THEN INSERT ({', '.join(values)}) VALUES ({', '.join(values.values())})"
     )
 
@@ -131,10 +132,12 @@ def upsert_statement(
     if "created_at" in rule.update and "created_at" not in columns:
         updates.append("created_at = CURRENT_TIMESTAMP")
     row = f"({', '.join([mark] * len(columns) + literals)})"
+    condition = rule.when and re.sub(r"\b([ts])\.", lambda m: {"t": f"{table}.", "s": "EXCLUDED."}[m[1]], rule.when)
     return (
         f"INSERT INTO {table} ({', '.join(inserted)}) "
         f"VALUES {', '.join([row] * rows)} "
         f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {', '.join(updates)}"
+        + (f" WHERE {condition}" if condition else "")
     )
 
 

@@ -19,7 +19,7 @@ from barloom.functions.times import width_micros
 from barloom.operators.bronze import to_bronze
 from barloom.operators.candles import candles
 from barloom.operators.frames import accepted, mark_records, mark_trades, only_watched, quarantined
-from barloom.operators.merge import LIVE
+from barloom.operators.merge import LIVE, UpsertRule
 from barloom.operators.silver import first_seen, not_stored, split_future, to_silver
 from barloom.schemas import BRONZE, DATE_PARTS, SILVER_PARTITIONS, SILVER_STORED
 from barloom.session import ROCKSDB
@@ -197,8 +197,9 @@ def start_gold(
     watermark: str = WATERMARK,
     decimals: int = 6,
     skew_ms: int | None = FUTURE_SKEW_MS,
+    rule: UpsertRule = LIVE,
 ) -> StreamingQuery:
-    """Clean layer to candles, upserted whenever they change.
+    """Clean layer to candles, upserted by ``rule`` whenever they change.
 
     Ticks stamped more than ``skew_ms`` ahead of their arrival stay out: one of them would
     move the watermark past all others.
@@ -211,7 +212,7 @@ def start_gold(
     bars = candles(silver, width, watermark=watermark, decimals=decimals)
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        mart.merge(batch, LIVE)
+        mart.merge(batch, rule)
 
     writer = bars.writeStream.outputMode("update").foreachBatch(upsert)
     with _rocksdb(silver.sparkSession):

@@ -5,7 +5,7 @@ import pytest
 
 from barloom import settings
 from barloom.operators.lookup import watchlist_frame
-from barloom.operators.merge import DAILY, HEAL, LIVE
+from barloom.operators.merge import DAILY, GROWING, HEAL, LIVE
 from barloom.plans.heal import heal_minutes
 from barloom.schemas import OHLCV_1M
 from barloom.session import scratch_dir
@@ -26,6 +26,10 @@ def test_statements():
     assert "UPDATE SET t.open = s.open" in merge
     assert "t.created_at = current_timestamp()" in merge
     assert merge.endswith("s.volume, current_timestamp(), NULL, 1)")
+    growing = [*COLUMNS, "vwap", "tick_count"]
+    where = "WHERE ohlcv_1m.vwap IS NULL OR EXCLUDED.tick_count >= ohlcv_1m.tick_count"
+    assert upsert_statement("ohlcv_1m", growing, GROWING).endswith(where)
+    assert "WHEN MATCHED AND (t.vwap IS NULL OR s.tick_count >= t.tick_count) THEN" in merge_statement("m", growing, GROWING)
 
 
 def test_relational_upsert_from_executors(spark, tmp_path):
@@ -54,6 +58,19 @@ def test_relational_upsert_from_executors(spark, tmp_path):
     assert got == (50, 2.0 * sum(range(50)), 1.0 * sum(range(50)))
 
 
+def test_relational_candles_only_grow(spark, tmp_path):
+    path = str(tmp_path / "mart.db")
+    columns = ["symbol", "window_start", "open", "vwap", "tick_count"]
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE c (symbol TEXT, window_start TEXT, open REAL, vwap REAL, tick_count INTEGER, created_at TEXT, UNIQUE (symbol, window_start))")
+        db.executemany("INSERT INTO c VALUES (?, '2024-01-01', 1, ?, 5, NULL)", [("A", 1.0), ("B", 1.0), ("C", None)])
+    rows = [("A", "2024-01-01", 2.0, 1.0, 4), ("B", "2024-01-01", 2.0, 1.0, 6), ("C", "2024-01-01", 2.0, 1.0, 1)]
+    bars = spark.createDataFrame(rows, "symbol string, window_start string, open double, vwap double, tick_count long")
+    upsert_relational(bars.select(*columns), "c", GROWING, lambda: sqlite3.connect(path, timeout=60), mark="?")
+    with sqlite3.connect(path) as db:
+        assert db.execute("SELECT symbol, open, tick_count FROM c ORDER BY 1").fetchall() == [("A", 1.0, 5), ("B", 2.0, 6), ("C", 2.0, 1)]
+
+
 def test_jobs_into_a_relational_table(spark, tmp_path):
     """The healer and the live path take the same sink as the file mart."""
     path = str(tmp_path / "mart.db")

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators.merge import DAILY, HEAL, LIVE, last_per_key, merge_upsert
+from barloom.operators.merge import DAILY, GROWING, HEAL, HEAL_MISSING, LIVE, last_per_key, merge_upsert
 from barloom.schemas import OHLCV_1M, OHLCV_DAILY
 from barloom.sources.mart import Mart
 
@@ -53,6 +53,21 @@ def test_heal_rule_keeps_vwap_and_ticks(spark):
     assert (got["A", T1].open, got["A", T1].vwap, got["A", T1].tick_count) == (3.0, None, 1)
 
 
+def test_candles_only_grow(spark):
+    """More ticks win over fewer, equal ones replace, and any candle replaces a healed bar."""
+    stored = bars(spark, bar("A", T0, ticks=5), bar("B", T0, ticks=5), bar("C", T0, ticks=5), bar("D", T0, 8.0, None, 1))
+    fresh = bars(spark, bar("A", T0, 2.0, ticks=4), bar("B", T0, 2.0, ticks=5), bar("C", T0, 2.0, ticks=6), bar("D", T0, 2.0, ticks=1), bar("E", T0, 2.0, ticks=1))
+    got = {k[0]: (r.open, r.tick_count) for k, r in contents(merge_upsert(stored, fresh, GROWING)).items()}
+    assert got == {"A": (1.0, 5), "B": (2.0, 5), "C": (2.0, 6), "D": (2.0, 1), "E": (2.0, 1)}
+
+
+def test_a_heal_leaves_candles_of_ticks_alone(spark):
+    stored = bars(spark, bar("A", T0), bar("B", T0, 1.0, None, 1))
+    fresh = bars(spark, *(bar(s, T0, 2.0) for s in "ABC")).drop("vwap", "tick_count")
+    got = {k[0]: (r.open, r.vwap, r.tick_count) for k, r in contents(merge_upsert(stored, fresh, HEAL_MISSING)).items()}
+    assert got == {"A": (1.0, 1.5, 9), "B": (2.0, None, 1), "C": (2.0, None, 1)}
+
+
 def test_repeated_source_keys_collapse(spark):
     fresh = bars(spark, bar("A", T0, 1.0), bar("A", T0, 3.0), bar("A", T0, 2.0))
     got = merge_upsert(bars(spark), fresh, LIVE).collect()
