@@ -44,7 +44,8 @@ def load_daily(
     ``stored_bars`` is what a sink that cannot be read holds. The earliest start of all
     symbols is a literal bound of the scan of ``bars``.
     """
-    last = stored(high_watermark(mart.read() if stored_bars is None else stored_bars, watchlist), "last-bars")
+    last = mart.last_bars(watchlist) if stored_bars is None else high_watermark(stored_bars, watchlist)
+    last = stored(last, "last-bars")
     start = last.select(F.min(B.first_day(B.as_moment(now))).cast("timestamp_ntz")).first()[0]
     if start is not None:
         bars = B.bars_from(bars, start)

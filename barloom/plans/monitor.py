@@ -9,31 +9,80 @@ from pyspark.sql import functions as F
 
 from barloom.functions.times import as_utc, floor_div, micros_of_day_time
 from barloom.operators.bars import as_moment
+from barloom.session import stored
 
 
-def latency(ticks: DataFrame) -> DataFrame:
+_BINS = 1024
+# Rank error of the sketches is at most n / _ACCURACY.
+_ACCURACY = 10_000
+
+
+def latency(ticks: DataFrame, percents: tuple[int, ...] = (50, 95, 99)) -> DataFrame:
     """Arrival delay per symbol in milliseconds, with exact quantiles.
 
-    Ticks are first counted by symbol and delay, so what is ranked are the distinct delays:
-    a quantile is the least delay that the share of the ticks reaches.
+    A quantile is the least delay that the share of the ticks reaches. Mergeable sketches give
+    a bracket for each, in one pass. Then the ticks are counted in the bins of the brackets,
+    which shrink to the bin that holds the rank, until they are single delays: seldom more
+    than two passes. However many ticks and distinct delays a symbol has, tasks send on a row
+    for each sketch or bin, and no task ranks more than the bins of a bracket.
     """
-    delay = F.col("ingestion_timestamp") - F.col("source_timestamp")
-    counted = ticks.select("symbol", delay.alias("_d")).groupBy("symbol", "_d").agg(F.count("_d").alias("_n"))
-    upto = Window.partitionBy("symbol").orderBy(F.col("_d").asc_nulls_first())
-    whole = upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = counted.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(whole)})
-
-    def quantile(percent: int) -> Column:
-        reached = (F.col("_n") > 0) & (F.col("_upto") * 100 >= F.col("_all") * percent)
-        return F.min(F.when(reached, F.col("_d"))).alias(f"p{percent}_ms")
-
-    return ranked.groupBy("symbol").agg(
-        F.sum("_n").alias("n_ticks"),
-        (F.sum(F.col("_d") * F.col("_n")) / F.sum("_n")).alias("avg_ms"),
-        F.min("_d").alias("min_ms"),
-        F.max("_d").alias("max_ms"),
-        *(quantile(p) for p in (50, 95, 99)),
+    delays = ticks.select("symbol", (F.col("ingestion_timestamp") - F.col("source_timestamp")).alias("_d"))
+    ends = [x for p in percents for x in (max(0.0, p / 100 - 2 / _ACCURACY), min(1.0, p / 100 + 2 / _ACCURACY))]
+    stats = stored(
+        delays.groupBy("symbol").agg(
+            F.count("_d").alias("n_ticks"),
+            F.expr("try_divide(sum(_d), count(_d))").alias("avg_ms"),
+            F.min("_d").alias("min_ms"),
+            F.max("_d").alias("max_ms"),
+            F.percentile_approx("_d", ends, _ACCURACY).alias("_ends"),
+        ),
+        "delays",
+    )
+    brackets = stats.filter("n_ticks > 0").select(
+        "symbol",
+        F.explode(F.array(*[
+            F.struct(
+                F.lit(p).alias("percent"),
+                F.expr(f"(n_ticks * {p} + 99) div 100").alias("rank"),
+                F.col("_ends")[2 * i].alias("lo"),
+                F.col("_ends")[2 * i + 1].alias("hi"),
+                F.col("min_ms").alias("_min"),
+                F.col("max_ms").alias("_max"),
+            )
+            for i, p in enumerate(percents)
+        ])).alias("_q"),
+    ).select("symbol", "_q.*")
+    # a sketch that met one delay only is exact: its bracket is counted all the same
+    brackets, open_ = stored(brackets.withColumn("_sure", F.lit(False)), "brackets"), True
+    while open_:
+        brackets = stored(_narrowed(delays, brackets), "brackets")
+        open_ = not brackets.filter("NOT _sure").isEmpty()
+    columns = [F.max(F.when(F.col("percent") == p, F.col("lo"))).alias(f"p{p}_ms") for p in percents]
+    found = brackets.groupBy(F.col("symbol").alias("_symbol")).agg(*columns)
+    rows = stats.join(found, F.col("symbol").eqNullSafe(F.col("_symbol")), "left")
+    return rows.select("symbol", "n_ticks", "avg_ms", "min_ms", "max_ms", *(f"p{p}_ms" for p in percents))
+
+
+def _narrowed(delays: DataFrame, brackets: DataFrame) -> DataFrame:
+    """Each bracket cut to the bin that holds its rank, or moved to the side where the rank is."""
+    held = brackets.withColumnRenamed("symbol", "_symbol").filter("NOT _sure")
+    rows = delays.join(held, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_d") <= F.col("hi")))
+    step = f"((hi - lo) div {_BINS} + 1)"
+    bins = rows.withColumn("_bin", F.expr(f"CASE WHEN _d < lo THEN -1 ELSE (_d - lo) div {step} END"))
+    keys = ["symbol", "percent"]
+    counted = bins.groupBy(*keys, "_bin").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))
+    at = counted.withColumn("_upto", upto).join(
+        held.select("_symbol", F.col("percent").alias("_percent"), "rank"),
+        F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("percent") == F.col("_percent")),
     )
+    reached = at.filter("_upto >= rank").groupBy(F.col("symbol").alias("_s"), F.col("percent").alias("_p")).agg(F.min("_bin").alias("_bin"))
+    cut = brackets.join(reached, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("percent") == F.col("_p")), "left")
+    low = f"CASE WHEN _sure THEN lo WHEN _bin IS NULL THEN hi + 1 WHEN _bin < 0 THEN _min ELSE lo + _bin * {step} END"
+    high = f"CASE WHEN _sure THEN hi WHEN _bin IS NULL THEN _max WHEN _bin < 0 THEN lo - 1 ELSE least(hi, lo + (_bin + 1) * {step} - 1) END"
+    cut = cut.select("symbol", "percent", "rank", F.expr(low).alias("lo"), F.expr(high).alias("hi"), "_min", "_max", "_bin", "_sure")
+    # a bin of one delay is the answer; a side to which the rank moved is counted again
+    return cut.withColumn("_sure", F.expr("_sure OR (lo = hi AND coalesce(_bin >= 0, false))")).drop("_bin")
 
 
 def flow_rate(ticks: DataFrame, width: str = "1 minute", ts: str = "trade_time") -> DataFrame:

@@ -261,6 +261,16 @@ ORACLE: dict[str, str] = {
                          AS idle_seconds
               FROM w LEFT JOIN l ON l.symbol = w.symbol)
         SELECT *, last_tick IS NULL OR idle_seconds > 14400 AS no_data FROM i""",
+    "live_pulse": f"""{_TICKS}, {_WATCH},
+        p AS (SELECT symbol, source_timestamp AS ms,
+                     lead(source_timestamp) OVER (PARTITION BY symbol ORDER BY source_timestamp) AS following
+              FROM t WHERE symbol IN (SELECT symbol FROM w)),
+        e AS (SELECT max(ms) - 300000 AS ended FROM p)
+        SELECT symbol, 'silent' AS status, make_timestamp(ms * 1000) AS since, make_timestamp((ms + 1800000) * 1000) AS at
+        FROM p, e WHERE (following IS NULL OR following - ms > 1800000) AND ms + 1800000 <= ended
+        UNION ALL
+        SELECT symbol, 'back', make_timestamp(ms * 1000), make_timestamp(following * 1000)
+        FROM p, e WHERE following - ms > 1800000 AND following <= ended""",
     "gap_minutes": _with_bars(
         "minute",
         """, r AS (SELECT symbol, unnest(generate_series(min(window_start), max(window_start),

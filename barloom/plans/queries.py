@@ -28,11 +28,12 @@ from barloom.plans.heal import heal_increment, heal_minutes
 from barloom.plans.monitor import flow_rate, gaps, latency, pulse
 from barloom.plans.pipeline import backfill, minute_mart
 from barloom.plans.replay import as_of, register_views, replay
-from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, OHLCV_DAILY, SILVER, SILVER_PARTITIONS
+from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, OHLCV_DAILY, SILVER, SILVER_PARTITIONS, TRADE
 from barloom.session import scratch_dir, stored
 from barloom.sources.connectors import read_silver
 from barloom.sources.mart import Mart
 from barloom.streaming import jobs
+from barloom.streaming.pulse import start_pulse
 from barloom.streaming.repair import start_repair
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,6 +380,18 @@ def pulse_no_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulse(T.timed(T.trades(spark, sf_dir)), _watchlist(spark), NOW, 4 * 3600)
 
 
+def live_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms of the live pulse over three runs of the stream, the last of them a restart."""
+    root = scratch_dir(spark, "pulse")
+    ticks = T.trades(spark, sf_dir)
+    cuts = [F.lit(0), *(F.lit(ms) for ms in CUTS), F.lit(2**62)]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        ticks.filter(F.col("source_timestamp").between(a, b - 1)).write.parquet(f"{root}/in/{i}")
+        source = spark.readStream.schema(TRADE).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        start_pulse(source, WATCHED, f"{root}/out", f"{root}/ck", silence="30 minutes").awaitTermination()
+    return spark.read.schema("symbol STRING, status STRING, since TIMESTAMP_NTZ, at TIMESTAMP_NTZ").parquet(f"{root}/out")
+
+
 def gap_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps(candles_1m(spark, sf_dir))
 
@@ -490,6 +503,7 @@ QUERIES: dict[str, Query] = {
         latency_stats,
         flow_rates,
         pulse_no_data,
+        live_pulse,
         gap_minutes,
         replay_day_range,
         stream_candles,

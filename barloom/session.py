@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +61,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, for Python in their tasks."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    # executors fetch it when their first task needs it, so it stays until the process ends
+    path = os.path.join(os.path.realpath(_local_base().name), f"{context.applicationId}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)

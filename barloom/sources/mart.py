@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.bars import as_moment
+from barloom.operators.lookup import last_bars
 from barloom.operators.merge import UpsertRule, last_per_key, merge_upsert
 from barloom.schemas import MART_KEYS
+from barloom.session import stored
 from barloom.sources.paths import create_text, delete, names, read_text
 
 # Length of 'yyyy-MM-dd HH' that names a period of each grain.
@@ -82,19 +84,36 @@ class Mart:
     def read(self, since: Column | None = None, until: Column | None = None) -> DataFrame:
         """The table, or the bars with ``since <= window_start < until``.
 
-        Bounds also prune the period directories.
+        Bounds, which are constants, choose the period directories before any is listed.
         """
-        df = self._table(self._current()[1])
+        df = self._table(self._between(self._current()[1], since, until))
         if since is not None:
-            df = df.filter(F.col(PERIOD) >= self._period(since)).filter(
-                F.col("window_start") >= since
-            )
+            df = df.filter(F.col(PERIOD) >= self._period(since)).filter(F.col("window_start") >= since)
         if until is not None:
-            df = df.filter(F.col(PERIOD) <= self._period(until)).filter(
-                F.col("window_start") < until
-            )
+            df = df.filter(F.col(PERIOD) <= self._period(until)).filter(F.col("window_start") < until)
         return df.drop(PERIOD, VERSION)
 
+    def last_bars(self, watchlist: DataFrame) -> DataFrame:
+        """Every watchlist symbol with ``last_window``, its last bar; NULL when it has none.
+
+        Periods are searched from the newest back, in rounds of twice as many, until every
+        symbol is found. Only a symbol without any bar has all periods searched.
+        """
+        current = self._current()[1]
+        periods = sorted(current, reverse=True)
+        missing = stored(watchlist.select("symbol").distinct(), "last-bars")
+        found, lo, size = [], 0, 1
+        while lo < len(periods) and not missing.isEmpty():
+            bars = self._table({p: current[p] for p in periods[lo : lo + size]})
+            last = stored(missing.join(last_bars(bars), "symbol", "left"), "last-bars")
+            found.append(last.filter("last_window IS NOT NULL"))
+            missing = last.filter("last_window IS NULL").select("symbol")
+            lo, size = lo + size, 2 * size
+        rows = missing.withColumn("last_window", F.lit(None).cast("timestamp_ntz"))
+        for part in found:
+            rows = rows.unionByName(part)
+        return rows
+
     def ensure(self) -> None:
         """Create the table when it is absent."""
         if not names(self.spark, self._pointers):
@@ -220,6 +239,16 @@ class Mart:
         number = max(self._numbers(), default=-1)
         return number, self._named(number) if number >= 0 else {}
 
+    def _between(self, current: dict[str, str], since: Column | None, until: Column | None) -> dict[str, str]:
+        """The periods that hold moments of the range."""
+        if since is None and until is None:
+            return current
+        ends = [F.lit("") if m is None else self._period(m) for m in (since, until)]
+        first, last = self.spark.sql("VALUES (1)").select(*ends).first()
+        if first is None or last is None:  # nothing is compared with NULL
+            return {}
+        return {p: v for p, v in current.items() if first <= p and (until is None or p <= last)}
+
     def _table(self, current: dict[str, str]) -> DataFrame:
         if not current:
             return self._empty()

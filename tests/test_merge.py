@@ -201,3 +201,46 @@ def test_empty_merge_changes_nothing(spark, tmp_path):
     mart.merge(nothing, DAILY)
     assert mart.read().count() == 0
     assert mart.read().schema.fieldNames() == OHLCV_DAILY.fieldNames()
+
+
+def periods_read(monkeypatch):
+    """The periods that each read of a table lists."""
+    table, seen = Mart._table, []
+
+    def spy(self, current):
+        seen.append(sorted(current))
+        return table(self, current)
+
+    monkeypatch.setattr(Mart, "_table", spy)
+    return seen
+
+
+def test_last_bars_from_the_newest_period_back(spark, tmp_path, monkeypatch):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M, "day")
+    symbols = spark.createDataFrame([("A",), ("B",), ("A",)], "symbol string")
+    assert sorted(map(tuple, mart.last_bars(symbols).collect())) == [("A", None), ("B", None)]
+    days = [datetime(2024, 1, d, 10) for d in range(1, 9)]
+    mart.merge(bars(spark, *(bar("A", d) for d in days), bar("B", days[4]), bar("C", days[0])), LIVE, now=NOW)
+    seen = periods_read(monkeypatch)
+    only = symbols.filter("symbol = 'A'")
+    assert [tuple(r) for r in mart.last_bars(only).collect()] == [("A", days[7])]
+    assert seen == [["2024-01-08"]]
+    seen.clear()
+    assert sorted(map(tuple, mart.last_bars(symbols).collect())) == [("A", days[7]), ("B", days[4])]
+    assert [len(x) for x in seen] == [1, 2, 4]
+    seen.clear()
+    unknown = symbols.unionByName(spark.createDataFrame([("X",)], "symbol string"))
+    assert sorted(map(tuple, mart.last_bars(unknown).collect())) == [("A", days[7]), ("B", days[4]), ("X", None)]
+    assert [len(x) for x in seen] == [1, 2, 4, 1]
+
+
+def test_bounds_choose_the_periods_before_they_are_listed(spark, tmp_path, monkeypatch):
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M, "day")
+    days = [datetime(2024, 1, d, 10) for d in range(1, 9)]
+    mart.merge(bars(spark, *(bar("A", d) for d in days)), LIVE, now=NOW)
+    seen = periods_read(monkeypatch)
+    moment = lambda d, h: F.lit(datetime(2024, 1, d, h)).cast("timestamp_ntz")
+    assert mart.read(since=moment(3, 11), until=moment(5, 10)).count() == 1
+    assert mart.read(since=moment(7, 10)).count() == 2 and mart.read(until=moment(2, 0)).count() == 1
+    assert mart.read(since=F.lit(None).cast("timestamp_ntz")).count() == 0
+    assert seen == [["2024-01-03", "2024-01-04", "2024-01-05"], ["2024-01-07", "2024-01-08"], ["2024-01-01", "2024-01-02"], []]

@@ -79,3 +79,33 @@ def test_pulse(new_york):
         "B": (datetime(1970, 1, 1, 0, 6, 30), 1, 11, False),
         "C": (None, 0, None, True),
     }
+
+
+@pytest.mark.parametrize("spread", [1, 3, 500, 10**6, 2**40])
+def test_quantiles_are_exact(spark, spread):
+    """One symbol with most rows; ties, negative and missing delays, and a symbol without any."""
+    rnd = random.Random(spread)
+    delays = {"HOT": [rnd.randrange(-spread, spread) for _ in range(5000)], "ONE": [7], "TIES": [3] * 40 + [9] * 60, None: [1, 2]}
+    rows = [(s, 0, d) for s, ds in delays.items() for d in ds] + [("HOT", 0, None), ("NONE", None, 5)]
+    got = {r["symbol"]: r for r in latency(ticks(spark, rows).repartition(4)).collect()}
+    assert set(got) == {*delays, "NONE"}
+    for symbol, ds in delays.items():
+        ds = sorted(ds)
+        r = got[symbol]
+        assert (r["n_ticks"], r["min_ms"], r["max_ms"]) == (len(ds), ds[0], ds[-1])
+        assert r["avg_ms"] == pytest.approx(sum(ds) / len(ds))
+        assert [r[f"p{p}_ms"] for p in (50, 95, 99)] == [ds[-(-len(ds) * p // 100) - 1] for p in (50, 95, 99)]
+    assert (got["NONE"]["n_ticks"], got["NONE"]["p50_ms"], got["NONE"]["avg_ms"]) == (0, None, None)
+
+
+def test_quantiles_do_not_hang_on_the_sketch(spark, monkeypatch):
+    """Brackets that miss the rank on either side are moved, not trusted."""
+    from barloom.plans import monitor
+
+    rows = [("A", 0, i * i) for i in range(3000)]
+    for wrong in (0.1, 0.9):
+        approx = F.percentile_approx
+        with monkeypatch.context() as patch:
+            patch.setattr(monitor.F, "percentile_approx", lambda c, ends, accuracy, w=wrong: approx(c, [w] * len(ends), accuracy))
+            got = latency(ticks(spark, rows)).first()
+        assert [got[f"p{p}_ms"] for p in (50, 95, 99)] == [(3000 * p // 100 - 1) ** 2 for p in (50, 95, 99)]
