@@ -52,8 +52,7 @@ def latency(ticks: DataFrame, percents: tuple[int, ...] = (50, 95, 99)) -> DataF
             for i, p in enumerate(percents)
         ])).alias("_q"),
     ).select("symbol", "_q.*")
-    # a sketch that met one delay only is exact: its bracket is counted all the same
-    brackets, open_ = stored(brackets.withColumn("_sure", F.lit(False)), "brackets"), True
+    brackets, open_ = brackets.withColumn("_sure", F.lit(False)), True
     while open_:
         brackets = stored(_narrowed(delays, brackets), "brackets")
         open_ = not brackets.filter("NOT _sure").isEmpty()

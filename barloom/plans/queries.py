@@ -429,7 +429,7 @@ def late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "late")
     ticks = to_bronze(T.trades(spark, sf_dir))
     part = F.col("event_id").cast("bigint") % 3
-    mart = Mart(spark, f"{root}/ohlcv_1h", OHLCV_1M, grain="day")
+    mart = Mart(spark, f"{root}/ohlcv_1h", OHLCV_1M, grain="month")
     for i in range(3):
         jobs.append_silver(ticks.filter(part == i), f"{root}/silver", i)
         how = {"width": "1 hour", "skew_ms": None}

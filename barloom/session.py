@@ -60,7 +60,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to a fresh scratch path and read again, so it is computed once."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -31,7 +31,6 @@ from barloom.sources.paths import create_text, delete, names, read_text
 GRAINS = {"year": 4, "month": 7, "day": 10, "hour": 13}
 PERIOD = "period"
 VERSION = "version"
-_BROADCAST_PERIODS = 100_000
 _TRIES = 10
 
 _locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
@@ -140,16 +139,15 @@ class Mart:
         recomputing the whole lineage.
         """
         incoming = f"{self.path}/incoming-{uuid.uuid4().hex}"
-        self._incoming_rows(source, order, now).write.parquet(incoming)
-        rows = self.spark.read.parquet(incoming)
-        first, last, n_periods = rows.agg(
-            F.min(PERIOD), F.max(PERIOD), F.countDistinct(PERIOD)
-        ).first()
+        arrived = self._incoming_rows(source, order, now)
+        arrived.write.parquet(incoming)
+        rows = self.spark.read.schema(arrived.schema).parquet(incoming)
+        periods = sorted(r[0] for r in rows.select(PERIOD).distinct().collect())
         with _locks[self.path]:
             self.ensure()
-            if n_periods:
+            if periods:
                 for _ in range(_TRIES):
-                    if self._merge_rows(rows, rule, first, last, n_periods):
+                    if self._merge_rows(rows, rule, periods):
                         break
                 else:
                     raise RuntimeError(f"{self.path}: overtaken by other writers {_TRIES} times")
@@ -157,20 +155,10 @@ class Mart:
                     self.read().createOrReplaceTempView(name)
         delete(self.spark, incoming)
 
-    def _merge_rows(
-        self, rows: DataFrame, rule: UpsertRule, first: str, last: str, n_periods: int
-    ) -> bool:
+    def _merge_rows(self, rows: DataFrame, rule: UpsertRule, periods: list[str]) -> bool:
         """One attempt; False if another process has changed the table meanwhile."""
         number, current = self._current()
-        touched = rows.select(PERIOD).distinct()
-        if n_periods <= _BROADCAST_PERIODS:
-            # Counted, so known to be a few megabytes at most.
-            touched = F.broadcast(touched)
-        before = (
-            self._table({p: v for p, v in current.items() if first <= p <= last})
-            .join(touched, PERIOD, "left_semi")
-            .drop(VERSION)
-        )
+        before = self._table({p: current[p] for p in periods if p in current}).drop(VERSION)
         merged = merge_upsert(before, rows, rule, (*self.keys, PERIOD), unique=True)
         version = uuid.uuid4().hex
         (
@@ -180,10 +168,9 @@ class Mart:
             .partitionBy(PERIOD, VERSION)
             .parquet(self._data)
         )
-        written = {r[0]: version for r in rows.select(PERIOD).distinct().toLocalIterator()}
-        text = "\n".join(f"{p} {v}" for p, v in sorted((current | written).items()))
+        text = "\n".join(f"{p} {v}" for p, v in sorted((current | dict.fromkeys(periods, version)).items()))
         if not create_text(self.spark, self._pointer(number + 1), text):
-            for period in written:
+            for period in periods:
                 delete(self.spark, self._directory(period, version))
             return False
         self._clean(number + 1)
