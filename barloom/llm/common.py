@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.session import scratch_dir
+from barloom.session import scratch_dir, ship
 from barloom.sources.paths import delete
 
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
@@ -136,21 +134,23 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
-_shipped: set[str] = set()
+def hand_back() -> None:
+    """Give freed memory back to the system at the end of a task: a worker lives through many."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="code-")), f"{root.name}.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for source in sorted(root.rglob("*.py")):
-            out.write(source, str(source.relative_to(root.parent)))
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
+def _trim():
+    """The C library's call for it, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+_TRIM = _trim()
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import LOWER, aside, blocks, fields, map_arrow, read, text_bytes
+from barloom.llm.common import LOWER, aside, blocks, fields, hand_back, map_arrow, read, text_bytes
 
 #: Bytes of a window.
 WINDOW = 128
@@ -29,6 +29,8 @@ EPOCHS = 10
 #: What a text without any letter, or a null, is said to be.
 UNDETERMINED = "und"
 _BATCH = 64
+#: Windows that are worked on at once.
+_WINDOWS = 4096
 
 
 class Network:
@@ -110,19 +112,26 @@ class Network:
         return self
 
 
-def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of a block of texts, zeros behind a short text, and the text of each.
+def window_ends(offsets: np.ndarray) -> np.ndarray:
+    """How many windows each text of a block and all before it have."""
+    return np.cumsum(-(-np.diff(offsets) // WINDOW))
+
+
+def windows_of(data: np.ndarray, offsets: np.ndarray, lo: int = 0, hi: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Windows lo to hi (all) of a block of texts, zeros behind a short text, and the text of each.
 
     A text is cut from its start; its last window ends with the text.
     """
-    sizes = np.diff(offsets)
-    count = -(-sizes // WINDOW)
-    text = np.repeat(np.arange(len(sizes)), count)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    sizes, ends = np.diff(offsets), window_ends(offsets)
+    number = np.arange(lo, ends[-1] if hi is None and len(ends) else hi or 0)
+    if not len(number):
+        return np.zeros((0, WINDOW), np.uint8), number
+    text = np.searchsorted(ends, number, "right")
+    number -= np.where(text > 0, ends[text - 1], 0)
     start = np.minimum(number * WINDOW, np.maximum(sizes[text] - WINDOW, 0))
     at = (offsets[:-1][text] + start)[:, None] + np.arange(WINDOW)
     inside = start[:, None] + np.arange(WINDOW) < sizes[text][:, None]
-    return np.where(inside, LOWER[data[np.minimum(at, len(data) - 1)]], 0).astype(np.uint8) if len(text) else np.zeros((0, WINDOW), np.uint8), text
+    return np.where(inside, LOWER[data[np.minimum(at, len(data) - 1)]], 0).astype(np.uint8), text
 
 
 def _labelled_sample(docs: DataFrame, learn: Column) -> DataFrame:
@@ -168,7 +177,12 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     ascii_letters[65:91] = ascii_letters[97:123] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network_ = held.value
+        try:
+            yield from predicted(held.value, batches)
+        finally:
+            hand_back()
+
+    def predicted(network_: Network | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             names, scores = [], []
@@ -185,11 +199,11 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                 total = np.zeros((hi - lo, len(network_.languages)))
                 count = np.zeros(hi - lo)
                 # a very long text is worked on in parts
-                windows, text = windows_of(data, own)
-                for a in range(0, len(windows), 8192):
-                    found = network_.predict(windows[a : a + 8192])
-                    np.add.at(total, text[a : a + 8192], found)
-                    count += np.bincount(text[a : a + 8192], minlength=hi - lo)
+                ends = window_ends(own)
+                for a in range(0, int(ends[-1]), _WINDOWS):
+                    windows, text = windows_of(data, own, a, min(a + _WINDOWS, int(ends[-1])))
+                    np.add.at(total, text, network_.predict(windows))
+                    count += np.bincount(text, minlength=hi - lo)
                 mean = total / np.maximum(count, 1)[:, None]
                 best = mean.argmax(axis=1)
                 for i in range(hi - lo):
@@ -209,11 +223,12 @@ def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """The documents whose language is identified, with their own columns: not ``und``, and at
     least ``min_score``. By default a text of several languages stays, under the strongest.
 
-    The network learns from the labelled ones that ``op7`` learns from; without any, all stay.
+    The network learns from the labelled ones that ``op7`` learns from; without any, every text
+    with a letter stays. Repeated rows are judged alike; an empty table stays empty.
     """
     network = train(docs, ~held_out(2, 4))
     if network is None:
-        return docs
+        return docs.where(F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
     rows, own_columns = aside(docs, "lang_pred", "score")
     return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))
 

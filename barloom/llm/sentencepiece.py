@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm.common import fields, map_arrow, read
+from barloom.llm.common import fields, hand_back, map_arrow, read
 
 #: A public model file; its pieces and scores are used, its training is not repeated.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -29,7 +29,7 @@ SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
 #: Distinct parts whose ids a task remembers in each of two generations. When the younger one
 #: is full, the older one, which holds what was not met since, is forgotten.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 
@@ -146,6 +146,9 @@ class Model:
         self.known: dict[str, np.ndarray] = {}
         self.older: dict[str, np.ndarray] = {}
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def normalise(self, text: str) -> str:
         return (SPACE + text if self.prefix and text else text).replace(SPACE, MARK)
 
@@ -299,6 +302,13 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_ = _held(held)
+        try:
+            yield from encoded(model_, batches)
+        finally:  # the worker goes on to other tasks
+            model_.forget()
+            hand_back()
+
+    def encoded(model_: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             lo = 0
