@@ -120,6 +120,13 @@ ORACLE: dict[str, str] = {
         FROM o""",
     "bronze_partitions": f"{_TICKS} SELECT {_DATE}, count(*) AS records FROM t GROUP BY ALL",
     "bronze_scan": f"{_TICKS} SELECT event_id, symbol, price, source_timestamp, {_DATE} FROM t",
+    "compacted_bronze": f"{_TICKS} SELECT event_id, symbol, price, source_timestamp, {_DATE} FROM t",
+    "corrupt_files": f"""{_TICKS},
+        s AS (SELECT DISTINCT day(trade_time) % 3 AS kind, CAST(trade_time AS DATE) AS d FROM t)
+        SELECT 'read' AS outcome, count(*) AS n, 0::BIGINT AS bytes FROM t
+        UNION ALL SELECT CASE kind WHEN 0 THEN 'no_parquet' WHEN 1 THEN 'bad_content' ELSE 'cut_short' END,
+                         count(*), (count(*) * CASE kind WHEN 0 THEN 4 WHEN 1 THEN 13 ELSE 8 END)::BIGINT
+        FROM s GROUP BY kind""",
     "watchlist_semi": f"""{_TICKS}, {_WATCH}
         SELECT event_id, symbol, price, volume FROM t
         WHERE EXISTS (SELECT 1 FROM w WHERE w.symbol = t.symbol)""",

@@ -35,8 +35,14 @@ def start_live(
     topic: bool = False,
     watchlist: DataFrame | list[str] | None = None,
     skip_corrupt: bool = False,
+    max_bytes: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start all hops at their usual intervals; the caller awaits or stops them."""
+    """Start all hops at their usual intervals; the caller awaits or stops them.
+
+    ``max_bytes`` bounds what a batch of the inner hops takes, so that a restart after an
+    outage works through the backlog in steps; ``frames`` has the bound of its own reader
+    (``maxBytesPerTrigger`` for files, ``maxOffsetsPerTrigger`` for a topic).
+    """
     spark = frames.sparkSession
     paths = _paths(root)
     if isinstance(mart, Mart):
@@ -54,20 +60,20 @@ def start_live(
             frames, paths["rejects"], paths["ck_rejects"], settings.BRONZE_TRIGGER, topic
         ),
         jobs.start_silver(
-            jobs.stream_bronze(spark, paths["bronze"], skip_corrupt=skip_corrupt),
+            jobs.stream_bronze(spark, paths["bronze"], skip_corrupt=skip_corrupt, max_bytes=max_bytes),
             paths["silver"],
             paths["ck_silver"],
             settings.SILVER_TRIGGER,
         ),
         jobs.start_gold(
-            jobs.stream_silver(spark, paths["silver"]),
+            jobs.stream_silver(spark, paths["silver"], max_bytes=max_bytes),
             mart,
             paths["ck_gold"],
             settings.GOLD_TRIGGER,
             rule=GROWING,
         ),
         start_repair(
-            jobs.stream_silver(spark, paths["silver"]),
+            jobs.stream_silver(spark, paths["silver"], max_bytes=max_bytes),
             paths["silver"],
             mart,
             paths["late"],

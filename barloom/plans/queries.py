@@ -31,7 +31,9 @@ from barloom.plans.replay import as_of, register_views, replay
 from barloom.schemas import BRONZE, DATE_PARTS, OHLCV_1M, OHLCV_DAILY, SILVER, SILVER_PARTITIONS, TRADE
 from barloom.session import scratch_dir, stored
 from barloom.sources.connectors import read_silver
+from barloom.sources.layers import Layer, unreadable_files
 from barloom.sources.mart import Mart
+from barloom.sources.paths import create_text
 from barloom.streaming import jobs
 from barloom.streaming.pulse import start_pulse
 from barloom.streaming.repair import start_repair
@@ -191,6 +193,36 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer in many small files, its days before the last two compacted; then more
+    files come, and the days are compacted again."""
+    path = scratch_dir(spark, "bronze")
+    ticks = T.trades(spark, sf_dir)
+    third = F.col("event_id").cast("bigint") % 3
+    layer = Layer(spark, path, BRONZE)
+    for i, before in enumerate((None, "2024-01-30", "2024-01-20")):
+        jobs.write_bronze(ticks.filter(third == i), path)
+        if before:
+            layer.compact(before)
+    return layer.read().select("event_id", "symbol", "price", "source_timestamp", *DATE_PARTS)
+
+
+def corrupt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader takes of the raw layer when each day has one spoiled file, and what it
+    passes over."""
+    path = scratch_dir(spark, "bronze")
+    jobs.write_bronze(T.trades(spark, sf_dir), path)
+    days = spark.read.schema(BRONZE).parquet(path).select(*DATE_PARTS).distinct().collect()
+    for day in days:
+        folder = "/".join(f"{p}={day[p]}" for p in DATE_PARTS)
+        create_text(spark, f"{path}/{folder}/spoiled.parquet", ("text", "PAR1 and PAR1", "PAR1 cut")[int(day["day"]) % 3])
+    read = spark.read.schema(BRONZE).option("ignoreCorruptFiles", "true").parquet(path)
+    lost = unreadable_files(spark, path).groupBy(F.col("reason").alias("outcome"))
+    return read.select(F.lit("read").alias("outcome"), F.lit(0).alias("_")).groupBy("outcome").agg(
+        F.count("*").alias("n"), F.lit(0).cast("bigint").alias("bytes")
+    ).unionByName(lost.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")))
+
+
 def watchlist_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = FR.only_watched(T.trades(spark, sf_dir), _watchlist(spark))
     return kept.select("event_id", "symbol", "price", "volume")
@@ -481,6 +513,8 @@ QUERIES: dict[str, Query] = {
         topic_decode,
         bronze_partitions,
         bronze_scan,
+        compacted_bronze,
+        corrupt_files,
         watchlist_semi,
         silver_clean,
         silver_dedup,

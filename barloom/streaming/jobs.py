@@ -102,11 +102,16 @@ def start_quarantine(
 
 
 def stream_bronze(
-    spark: SparkSession, path: str, max_files: int | None = None, skip_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    skip_corrupt: bool = False,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The raw layer, each file once. ``skip_corrupt`` passes over unreadable files
-    instead of failing the batch."""
-    return _stream(spark, BRONZE, path, max_files, ignoreCorruptFiles=skip_corrupt)
+    instead of failing the batch; ``quarantine_files`` finds them. A batch takes at most
+    ``max_files`` or, from the second file on, ``max_bytes``."""
+    return _stream(spark, BRONZE, path, max_files, max_bytes, ignoreCorruptFiles=skip_corrupt)
 
 
 # -- silver --------------------------------------------------------------------
@@ -181,8 +186,10 @@ def start_silver(
         return _start(ticks.writeStream.foreachBatch(append), checkpoint, every)
 
 
-def stream_silver(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return _stream(spark, SILVER_STORED, path, max_files)
+def stream_silver(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    return _stream(spark, SILVER_STORED, path, max_files, max_bytes)
 
 
 # -- gold ----------------------------------------------------------------------
@@ -220,9 +227,18 @@ def start_gold(
 
 
 def _stream(
-    spark: SparkSession, schema: StructType, path: str, max_files: int | None, **options
+    spark: SparkSession,
+    schema: StructType,
+    path: str,
+    max_files: int | None,
+    max_bytes: int | None,
+    **options,
 ) -> DataFrame:
+    if max_files and max_bytes:
+        raise ValueError("bound a batch by files or by bytes, not by both")
     reader = spark.readStream.schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)

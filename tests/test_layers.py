@@ -1,0 +1,165 @@
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+from test_streams import START, at, bars_of, trade
+
+from barloom.operators.candles import candles
+from barloom.operators.silver import to_silver
+from barloom.schemas import BRONZE, OHLCV_1M, SILVER, TRADE
+from barloom.sources.layers import Layer, quarantine_files, unreadable_files
+from barloom.sources.mart import Mart
+from barloom.sources.paths import create_text
+from barloom.streaming import jobs
+
+DAY = 60 * 24
+
+
+def write(spark, path, name, days=range(3), files=4):
+    rows = [trade(f"{name}-{d}-{i}", at(DAY * d, i)) for d in days for i in range(40)]
+    bronze = jobs.to_bronze(spark.createDataFrame(rows, TRADE)).repartition(files)
+    bronze.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+    return {r[0] for r in rows}
+
+
+def ids(df):
+    found = [r.event_id for r in df.select("event_id").collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def test_compaction_keeps_every_row_once(spark, tmp_path):
+    """Days that are open stay; files that come later are taken in by the next run."""
+    path = str(tmp_path / "bronze")
+    layer = Layer(spark, path, BRONZE)
+    want = write(spark, path, "a")
+    assert ids(layer.read()) == want and layer.compact("2024-01-01") == []
+    assert layer.compact("2024-01-03") == ["2024-01-01", "2024-01-02"]
+    assert ids(layer.read()) == want
+    assert layer.read().columns == spark.read.schema(BRONZE).parquet(path).columns
+    assert layer.compact("2024-01-03") == []
+    want |= write(spark, path, "late", days=[0, 2])
+    assert ids(layer.read()) == want
+    assert layer.compact("2024-01-04") == ["2024-01-01", "2024-01-03"]
+    assert ids(layer.read()) == want
+    compacted = [p for p in layer.read().inputFiles() if "_compact/data" in p]
+    assert len(compacted) == 3  # one file each
+    by_day = layer.read().groupBy("day").count().collect()
+    assert {r["day"]: r["count"] for r in by_day} == {"01": 80, "02": 40, "03": 80}
+
+
+def test_a_reader_that_started_before_the_swap_ends_with_its_own_state(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    layer = Layer(spark, path, BRONZE)
+    want = write(spark, path, "a")
+    held = [layer.read()]
+    layer.compact("2024-02-01")
+    more = write(spark, path, "b", days=[0])
+    held.append(layer.read())
+    layer.compact("2024-02-01")
+    assert ids(held[0]) == want and ids(held[1]) >= want and ids(layer.read()) == want | more
+
+
+def test_readers_during_compaction(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    want = write(spark, path, "a", files=8)
+    seen, failed, done = [], [], threading.Event()
+
+    def read():
+        try:
+            while not done.is_set():
+                seen.append(ids(Layer(spark, path, BRONZE).read()))
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        Layer(spark, path, BRONZE).compact("2024-02-01")
+    finally:
+        done.set()
+        reader.join(60)
+    assert not failed and seen and all(x == want for x in seen)
+
+
+def test_a_file_stream_reads_no_row_twice(spark, tmp_path):
+    path, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    want = write(spark, path, "a")
+    for _ in range(2):
+        jobs.start_silver(jobs.stream_bronze(spark, path), out, ck, dedup="batch").awaitTermination()
+        Layer(spark, path, BRONZE).compact("2024-02-01")
+    want |= write(spark, path, "b", days=[1])
+    jobs.start_silver(jobs.stream_bronze(spark, path), out, ck, dedup="batch").awaitTermination()
+    assert ids(spark.read.schema(SILVER).parquet(out)) == want
+
+
+def test_files_are_of_the_size_asked_for(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    ticks = spark.range(120_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("event_id"), F.lit("A").alias("symbol"), F.rand(1).alias("price"), F.rand(2).alias("volume"),
+        F.lit(START).alias("source_timestamp"), F.lit(START).alias("ingestion_timestamp"), F.array().cast("array<string>").alias("trade_conditions"),
+    )
+    jobs.to_bronze(ticks.repartition(30)).write.partitionBy("year", "month", "day").parquet(path)
+    layer = Layer(spark, path, BRONZE)
+    assert layer.compact("2024-02-01", target_bytes=3 << 20) == ["2024-01-01"]
+    assert 2 <= len([p for p in layer.read().inputFiles() if "_compact/data" in p]) <= 8
+    assert layer.read().count() == 120_000
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    want = write(spark, path, "a")
+    slow, fast = Layer(spark, path, BRONZE), Layer(spark, path, BRONZE)
+    covered = slow._covered
+    monkeypatch.setattr(slow, "_covered", lambda current: (fast.compact("2024-02-01"), covered(current))[1])
+    with pytest.raises(RuntimeError, match="another process"):
+        slow.compact("2024-02-01")
+    assert ids(layer := Layer(spark, path, BRONZE).read()) == want and layer.count() == 120
+
+
+SPOILED = {"text": "no_parquet", "PAR1": "cut_short", "PAR1 cut short by a crash": "cut_short", "PAR1 bad content PAR1": "bad_content"}
+
+
+def test_unreadable_files(spark, tmp_path):
+    path = str(tmp_path / "bronze dir")
+    write(spark, path, "a", files=2)
+    # a sound file without rows
+    spark.createDataFrame([], BRONZE).drop("year", "month", "day").coalesce(1).write.parquet(f"{path}/year=2024/month=01/day=09")
+    assert unreadable_files(spark, path).collect() == [] and quarantine_files(spark, path, str(tmp_path / "bad")) == 0
+    for i, text in enumerate(SPOILED):
+        create_text(spark, f"{path}/year=2024/month=01/day=02/bad{i}.parquet", text)
+    found = {r["file"].rsplit("/", 1)[1]: (r["reason"], r["length"]) for r in unreadable_files(spark, path).collect()}
+    assert found == {f"bad{i}.parquet": (reason, len(text)) for i, (text, reason) in enumerate(SPOILED.items())}
+    into = str(tmp_path / "bad")
+    assert quarantine_files(spark, path, into) == 4 and quarantine_files(spark, path, into) == 0
+    create_text(spark, f"{path}/year=2024/month=01/day=01/more.parquet", "x")
+    assert quarantine_files(spark, path, into) == 1 and spark.read.parquet(into).count() == 5
+
+
+def test_a_large_file_is_not_opened(spark, tmp_path, monkeypatch):
+    from barloom.sources import layers
+
+    create_text(spark, str(tmp_path / "in" / "bad.parquet"), "not parquet at all")
+    monkeypatch.setattr(layers, "_OPENED_BYTES", 5)
+    assert [r["reason"] for r in unreadable_files(spark, str(tmp_path / "in")).collect()] == ["unread"]
+
+
+def test_batches_bounded_by_bytes(spark, tmp_path):
+    """Twenty files after an outage come in steps, through both inner hops, to the same candles."""
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    rows = [trade(f"e{i}", at(i % 50, i % 60), 1.0 + i % 7) for i in range(200)]
+    jobs.to_bronze(spark.createDataFrame(rows, TRADE)).repartition(20).write.parquet(bronze)
+    size = max(p.stat().st_size for p in (tmp_path / "bronze").glob("*.parquet"))
+    source = jobs.stream_bronze(spark, bronze, max_bytes=4 * size)
+    query = jobs.start_silver(source, silver, str(tmp_path / "ck1"))
+    query.awaitTermination()
+    batches = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert len(batches) >= 4 and sum(batches) == 200
+    mart = Mart(spark, str(tmp_path / "mart"), OHLCV_1M)
+    stream = jobs.stream_silver(spark, silver, max_bytes=20_000)
+    query = jobs.start_gold(stream, mart, str(tmp_path / "ck2"), watermark="1 hour")
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) >= 2
+    assert bars_of(mart.read()) == bars_of(candles(to_silver(spark.read.parquet(bronze))))
+    with pytest.raises(ValueError, match="not by both"):
+        jobs.stream_silver(spark, silver, max_files=1, max_bytes=1)
