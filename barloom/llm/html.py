@@ -3,14 +3,16 @@
 Every page is parsed, and its containers (body, main, article, div, td) are scored by the
 running text they hold. A container is known by its path of tags and classes with numbers
 generalised. Each page votes for the paths of its containers, Spark sums the votes of a
-host's pages, and each page is then extracted by its host's winning path. A page without
-that path is extracted by its own best container.
+host's pages, and each page is then extracted by its host's winning path. Where that path is
+absent or holds next to nothing of the page's text, the best of the host's other paths takes
+its place, and at last the page's own best container; so it does for a page without a host.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -79,6 +81,15 @@ def _is_skipped(tag: str, attributes: dict[str, str], by_class: bool) -> bool:
     return bool(words & (ARTICLE_WORDS if tag == "article" else SKIPPED_WORDS))
 
 
+#: A longer path goes on from a hash of itself, so that deep nesting takes no more memory.
+_LONGEST_PATH = 256
+
+
+def _below(path: str, step: str) -> str:
+    path = f"{path}>{step}"
+    return path if len(path) <= _LONGEST_PATH else f"#{hashlib.blake2b(path.encode('utf-8', 'surrogatepass'), digest_size=12).hexdigest()}"
+
+
 def _step(tag: str, attributes: dict[str, str]) -> str:
     """A step of a generalised path: the tag and its first class, numbers as `#`."""
     name = (attributes.get("class", "").split() or [""])[0].lower()
@@ -86,6 +97,12 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return f"{tag}.{name}" if name else tag
 
 
+#: A path is poor on a page where its score is below this share of the page's best.
+POOR = 0.2
+#: The paths of a host are those with at least this share of all its votes: 20 at most.
+LEAST_VOTES = 0.05
+
+
 class Page:
     """The containers of a page and its blocks of text, without what stands around an article."""
 
@@ -95,6 +112,7 @@ class Page:
         self.blocks: list[tuple[int, bool, str, int]] = []
         # open elements: tag, skipped, container, path
         self._open: list[tuple[str, bool, int, str]] = [("", False, 0, "")]
+        self._tags: Counter[str] = Counter()
         self._text: list[str] = []
         self._linked = self._links = 0
         self._read(html, by_class)
@@ -154,27 +172,36 @@ class Page:
             self._flush()
             top = self._open[-1][0]
             if top == "p" or tag in _CLOSES.get(top, ()):
-                self._open.pop()
+                self._drop(1)
                 if tag == "tr" and self._open[-1][0] == "tr":
-                    self._open.pop()
+                    self._drop(1)
                 _, skipped, container, path = self._open[-1]
                 skip = skipped or _is_skipped(tag, attributes, by_class)
         if not skip and block:
-            path = f"{path}>{_step(tag, attributes)}" if tag in CONTAINERS or tag == "section" else path
+            path = _below(path, _step(tag, attributes)) if tag in CONTAINERS or tag == "section" else path
             if tag in CONTAINERS:
                 self.containers.append((path, container, tag))
                 container = len(self.containers) - 1
         self._open.append((tag, skip, container, path))
+        self._tags[tag] += 1
+
+    def _drop(self, n: int) -> None:
+        """Close the n innermost elements."""
+        for tag, *_ in self._open[-n:]:
+            self._tags[tag] -= 1
+        del self._open[-n:]
 
     def _close(self, tag: str) -> None:
         if tag == "a":
             self._links = max(0, self._links - 1)
         if tag in BLOCKS:
             self._flush()
+        if not self._tags[tag]:  # else it is looked for through all that is open
+            return
         for i in range(len(self._open) - 1, 0, -1):
             name = self._open[i][0]
             if name == tag:
-                del self._open[i:]
+                self._drop(len(self._open) - i)
                 return
             if tag in _INNER and name in _FENCE:
                 return
@@ -199,11 +226,13 @@ class Page:
             best[path] = max(best.get(path, 0.0), score)
         return best
 
-    def text(self, path: str | None) -> str:
-        """The blocks within containers of this path, or of the page's own best path."""
-        if not any(own == path for own, _, _ in self.containers):
-            scores = self.scores()
-            path = max(scores, key=lambda x: (scores[x], -len(x), x), default="")
+    def text(self, paths: list[str]) -> str:
+        """The blocks within containers of the first path; if that is poor here, of the other one with
+        the best score; if that is poor as well, of the page's best."""
+        scores = self.scores()
+        best = max(scores, key=lambda x: (scores[x], -len(x), x), default="")
+        others = sorted((x for x in paths[1:] if x in scores), key=lambda x: -scores[x])
+        path = next((x for x in [*paths[:1], *others] if x in scores and scores[x] >= POOR * scores[best]), best)
         inside = []
         for own, above, _ in self.containers:
             inside.append(own == path or (above >= 0 and inside[above]))
@@ -223,7 +252,10 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """The winning path of every host: most votes, then the shorter, then by name."""
+    """The ``paths`` of every host with LEAST_VOTES of its votes: most votes first, then the shorter, then by name.
+
+    Pages without a host are no host: they have no vote.
+    """
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, str], float] = defaultdict(float)
@@ -245,34 +277,38 @@ def host_paths(pages: DataFrame) -> DataFrame:
         if total:
             yield out()
 
-    rows = map_arrow(pages.select(host_of(F.col("url")).alias("host"), "html"), votes, "host string, path string, votes double")
-    summed = rows.groupBy("host", "path").agg(F.sum(F.col("votes").cast("decimal(28,6)")).alias("votes"))
-    order = F.struct("votes", (-F.length("path")).alias("short"), F.col("path").alias("path"))
-    return summed.groupBy("host").agg(F.max(order).getField("path").alias("path"))
+    own = pages.select(host_of(F.col("url")).alias("host"), "html").where("host <> ''")
+    rows = map_arrow(own, votes, "host string, path string, votes double")
+    summed = checkpoint(rows.groupBy("host", "path").agg(F.sum(F.col("votes").cast("decimal(28,6)")).alias("votes")))
+    whole = summed.groupBy("host").agg(F.sum("votes").alias("all"))
+    kept = summed.join(whole, "host").where(F.col("votes") >= LEAST_VOTES * F.col("all"))
+    order = F.struct((-F.col("votes")).alias("votes"), F.length("path").alias("length"), F.col("path").alias("path"))
+    return kept.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["path"]).alias("paths"))
 
 
-#: Hosts up to this many are sent to every task; more are joined by shuffle.
-BROADCAST_HOSTS = 100_000
+#: Hosts up to this many are sent to every task, with 20 paths of 256 characters at most; more
+#: are joined by shuffle.
+BROADCAST_HOSTS = 10_000
 
 
 def extract_pages(pages: DataFrame, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """``pages`` (url, html and others) with ``text`` and ``n_chars`` in place of the html.
 
-    A null html is empty and gives an empty text; pages without a host (or a null url) vote as
-    one host. Repeated rows vote and stay row by row. Columns of these names are replaced. An
-    empty table gives an empty result.
+    A null html is empty and gives an empty text; a page without a host (or with a null url) is
+    extracted by itself. Elements may be nested to any depth. Repeated rows vote and stay row by
+    row. Columns of these names are replaced. An empty table gives an empty result.
     """
     paths = checkpoint(host_paths(pages))
     few = paths.count() <= broadcast_hosts
     pages = pages.drop("text", "n_chars")
     rows = pages.withColumn("_host", host_of(F.col("url")))
-    paths = paths.withColumnsRenamed({"host": "_host", "path": "_path"})
+    paths = paths.withColumnsRenamed({"host": "_host", "paths": "_paths"})
     rows = rows.join(F.broadcast(paths) if few else paths, "_host", "left").drop("_host")
     names = [c for c in pages.columns if c != "html"]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [parse(html.as_py()).text(path) for html, path in zip(batch.column("html"), batch.column("_path").to_pylist(), strict=True)]
+            texts = [parse(html.as_py()).text(paths or []) for html, paths in zip(batch.column("html"), batch.column("_paths").to_pylist(), strict=True)]
             columns = [*(batch.column(c) for c in names), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "text", "n_chars"])
 

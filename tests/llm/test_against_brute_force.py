@@ -151,6 +151,55 @@ def test_consensus_wins_over_a_page_of_its_own(spark):
     assert html.extract_pages(alone).first()["text"] == aside
 
 
+def test_two_templates_on_a_host(spark):
+    """The host's path stands on the second template too, but empty or beside the article."""
+    usual = "<body><div class=content><p>{}</div>"
+    other = "<body><div class=content>{}</div><article class=story><p>{}</article>"
+    rows = [(i, "http://h.org/1", usual.format(prose(i, 60))) for i in range(6)]
+    rows += [(10, "http://h.org/2", other.format("", prose(20, 60))), (11, "http://h.org/3", other.format("<p>by Jo", prose(21, 60)))]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(6)] == [prose(i, 60) for i in range(6)]
+    assert (got[10], got[11]) == (prose(20, 60), prose(21, 60))
+
+
+def test_pages_without_a_host_share_no_path(spark):
+    rows = [(i, None, f"<body><div class=a><p>{prose(i, 60)}</div><div class=b><p>few words</div>") for i in range(5)]
+    rows += [(9, "no host", f"<body><div class=a><p>{prose(7, 60)}</div><div class=b><p>{prose(8, 200)}</div>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html.host_paths(pages).count() == 0
+    assert {r["page_id"]: r["text"] for r in html.extract_pages(pages).collect()}[9] == prose(8, 200)
+
+
+def test_deep_nesting_takes_little_memory():
+    import tracemalloc
+
+    page = "<div class=some-long-class-name>" * 100_000 + "the text"
+    tracemalloc.start()
+    try:
+        assert html.parse(page).text([]) == "the text"
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+    unmatched = "<div>" * 20_000 + "</span></section>" * 20_000 + "the text"
+    assert html.parse(unmatched).text([]) == "the text"
+
+
+def test_paths_of_a_host_against_plain_votes(spark):
+    rows = [(f"http://{'ab'[i % 2]}.org/{i}", PAGE.format(n=i, long=prose(i, 20 + 10 * (i % 3)))) for i in range(20)]
+    rows += [("http://a.org/x", f"<body><main><p>{prose(9, 50)}</main>")]
+    want = {}
+    for host in ("a.org", "b.org"):
+        votes = collections.Counter()
+        for url, page in rows:
+            if host in url:
+                scores = html.parse(page).scores()
+                votes.update({p: round(v / max(scores.values()), 6) for p, v in scores.items() if v >= 0.25 * max(scores.values())})
+        whole = sum(votes.values())
+        want[host] = sorted((p for p, v in votes.items() if v >= 0.05 * whole), key=lambda p: (-round(votes[p], 6), len(p), p))
+    got = html.host_paths(spark.createDataFrame(rows, "url string, html string").repartition(3)).collect()
+    assert {r["host"]: r["paths"] for r in got} == want
+
+
 def test_given_pages_give_their_articles(spark):
     pages = read(spark, SF_DIR, "pages")
     got = {r["page_id"]: r["text"] for r in html.op3_host_consensus(spark, SF_DIR).collect()}
