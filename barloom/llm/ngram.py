@@ -5,18 +5,26 @@ n-gram of ``LEAST_COUNT`` occurrences is in the model, whatever the size of the
 but the counts of common words is sent to every task.
 
 Texts are stored in blocks. Each block sends its distinct pairs, each with the words that follow
-it, to the bucket of the pair's hash. A bucket adds up what all blocks sent and answers each of
-them with those of its n-grams that are in the model. Both ways a level is a sorted sequence in
-Elias-Fano form: the hashes of the pairs, and under each pair's place 32 bits of the successors'
-hashes. A bucket has all successors of its pairs, so it knows their back-off weights; those of
-words are sums over all buckets. The answers of a block are joined with its texts.
-
+it, to the bucket of the pair's hash: a level is a sorted sequence in Elias-Fano form, the hashes
+of the pairs, and under each pair's place 32 bits of the successors' hashes. A bucket adds up what
+all blocks sent, and has all successors of its pairs, so it knows their probabilities and back-off
+weights; those of words are sums over all buckets. It answers each block with the part of the trie
+that the block's texts reach: the pairs, monotone pointers to their successors and the successors,
+all three in Elias-Fano form, and quantised probabilities and weights.
+
+The parts are joined with the texts of the block and mapped from a file, as they are. A text's
+n-grams are looked up there by successor search: a pair by its high bits among all pairs, and
+the word after it within the range of its context only.
+
+Logarithms are quantised to 16 bits, which changes a probability by 0.02 % at most.
 Probabilities: absolute discounting, interpolated with the lower order; a word of count c has
 (c - d) / N, and what the discounts save is the probability of an unknown word.
 """
 
 from __future__ import annotations
 
+import mmap
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,6 +60,11 @@ _POPCOUNT = np.array([bin(x).count("1") for x in range(256)], np.uint8)
 _SELECT = np.array([([i for i in range(8) if x >> i & 1] + [0] * 8)[:8] for x in range(256)], np.uint8)
 
 
+def _ranks(high: np.ndarray) -> np.ndarray:
+    """Ones before each word of 64 bits."""
+    return np.concatenate(([0], np.cumsum(_POPCOUNT[high].reshape(-1, 8).sum(axis=1)))).astype(np.int64)
+
+
 class EliasFano:
     """A non-decreasing sequence: high parts in unary in a bit map, low parts packed."""
 
@@ -60,6 +73,10 @@ class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.bits = (int(x) for x in arrays["shape"])
         self.low, self.high, self.ranks = arrays["low"], arrays["high"], arrays["ranks"]
+        if self.ranks is None:
+            self.ranks = _ranks(self.high)
+        #: Zeros before each word of 64 bits.
+        self.zeros = np.arange(len(self.ranks), dtype=np.int64) * 64 - self.ranks
 
     @staticmethod
     def build(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -74,53 +91,68 @@ class EliasFano:
         over = shift + np.uint64(bits) > 64
         np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
-        size = ((int(ones[-1]) >> 6) + 1) * 64 if n else 64
+        size = (((int(ones[-1]) + 1) >> 6) + 1) * 64 if n else 64  # a zero ends the last high part
         flags = np.zeros(size, np.uint8)
         flags[ones] = 1
         high = np.packbits(flags, bitorder="little")
-        counts = _POPCOUNT[high].reshape(-1, 8).sum(axis=1)
-        ranks = np.concatenate(([0], np.cumsum(counts))).astype(np.uint32)
-        return {"shape": np.array([n, bits], np.int64), "low": low, "high": high, "ranks": ranks}
+        return {"shape": np.array([n, bits], np.int64), "low": low, "high": high, "ranks": _ranks(high)}
 
-    def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        """The values at these places."""
-        word = np.searchsorted(self.ranks, at, "right") - 1
-        left = (at - self.ranks[word]).astype(np.int64)
+    def _select(self, before: np.ndarray, at: np.ndarray, flip: int) -> np.ndarray:
+        """The place of the at-th one, or of the at-th zero where ``flip`` is 255."""
+        word = np.searchsorted(before, at, "right") - 1
+        left = (at - before[word]).astype(np.int64)
         byte = word * 8
         for _ in range(7):
-            own = _POPCOUNT[self.high[byte]]
+            own = _POPCOUNT[self.high[byte] ^ flip]
             on = left >= own
             left -= np.where(on, own, 0)
             byte += on
             if not on.any():
                 break
-        one = byte * 8 + _SELECT[self.high[byte], left]
-        value = (one - at).astype(np.uint64) << np.uint64(self.bits)
-        if self.bits:
-            place = at.astype(np.uint64) * np.uint64(self.bits)
-            word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
-            part = self.low[word] >> shift
-            more = shift > 0
-            part |= np.where(more, self.low[word + 1] << (np.uint64(64) - np.where(more, shift, 1)), 0).astype(np.uint64)
-            value |= part & np.uint64((1 << self.bits) - 1)
-        return value.astype(np.int64)
+        return byte * 8 + _SELECT[self.high[byte] ^ flip, left]
+
+    def _lows(self, at: np.ndarray) -> np.ndarray:
+        if not self.bits:
+            return np.zeros(len(at), np.uint64)
+        place = at.astype(np.uint64) * np.uint64(self.bits)
+        word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
+        part = self.low[word] >> shift
+        more = shift > 0
+        part |= np.where(more, self.low[word + 1] << (np.uint64(64) - np.where(more, shift, 1)), 0).astype(np.uint64)
+        return part & np.uint64((1 << self.bits) - 1)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        """The values at these places."""
+        one = self._select(self.ranks, at, 0)
+        return ((one - at).astype(np.uint64) << np.uint64(self.bits) | self._lows(at)).astype(np.int64)
 
     def find(self, lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """The place of each value within its range [lo, hi), or -1."""
-        lo, end = lo.copy(), hi.copy()
-        hi = hi.copy()
-        open_ = np.flatnonzero(lo < hi)
+        """The place of the first value that is equal within its range [lo, hi), or -1.
+
+        The high part of a value leads to the places that share it, few on the whole; among
+        those within the range the low parts are searched.
+        """
+        value = value.astype(np.uint64)
+        found = np.full(len(value), -1)
+        top = (value >> np.uint64(self.bits)).astype(np.int64)
+        at = np.flatnonzero((lo < hi) & (top < self.zeros[-1]))
+        if not len(at):
+            return found
+        top, low = top[at], value[at] & np.uint64((1 << self.bits) - 1)
+        start = np.where(top > 0, self._select(self.zeros, np.maximum(top - 1, 0), 255) - top + 1, 0)
+        end = np.minimum(self._select(self.zeros, top, 255) - top, hi[at])
+        start = np.maximum(start, lo[at])
+        last = end.copy()
+        open_ = np.flatnonzero(start < end)
         while len(open_):
-            middle = (lo[open_] + hi[open_]) >> 1
-            below = self[middle] < value[open_]
-            lo[open_[below]] = middle[below] + 1
-            hi[open_[~below]] = middle[~below]
-            open_ = open_[lo[open_] < hi[open_]]
-        found = np.full(len(lo), -1)
-        inside = np.flatnonzero(lo < end)
-        if len(inside):
-            same = self[lo[inside]] == value[inside]
-            found[inside[same]] = lo[inside[same]]
+            middle = (start[open_] + end[open_]) >> 1
+            below = self._lows(middle) < low[open_]
+            start[open_[below]] = middle[below] + 1
+            end[open_[~below]] = middle[~below]
+            open_ = open_[start[open_] < end[open_]]
+        inside = np.flatnonzero(start < last)
+        same = inside[self._lows(start[inside]) == low[inside]]
+        found[at[same]] = start[same]
         return found
 
     def all(self) -> np.ndarray:
@@ -143,10 +175,12 @@ def pack(*arrays: np.ndarray) -> bytes:
     return "\t".join(head).encode() + b"\n" + b"".join(np.ascontiguousarray(x).tobytes() for x in arrays)
 
 
-def unpack(value: bytes) -> list[np.ndarray]:
-    at = value.index(b"\n") + 1
+def unpack(value: bytes | mmap.mmap, at: int = 0) -> list[np.ndarray]:
+    """The arrays packed from place ``at`` on, as they stand there."""
+    end = value.find(b"\n", at)
+    head, at = value[at:end].decode(), end + 1
     out = []
-    for part in value[: at - 1].decode().split("\t"):
+    for part in head.split("\t"):
         kind, n = part.split(":")
         out.append(np.frombuffer(value, kind, int(n), at))
         at += out[-1].nbytes
@@ -167,6 +201,29 @@ def _values(arrays: list[np.ndarray]) -> np.ndarray:
     return EliasFano({"shape": shape, "low": low, "high": high, "ranks": None}).all() + least[0]
 
 
+def _held(arrays: list[np.ndarray]) -> tuple[EliasFano, np.uint64]:
+    """The sequence, searched where it stands, and what to take off a value before."""
+    least, shape, low, high = arrays
+    return EliasFano({"shape": shape, "low": low, "high": high, "ranks": None}), least[0] if len(least) else np.uint64(0)
+
+
+#: Natural logarithms up to this size are quantised to 16 bits: 0.00037 a step.
+_SPAN = 24.0
+
+
+def quantised(x: np.ndarray) -> np.ndarray:
+    """16-bit codes of probabilities or weights in (0, 1], or of discounted counts from 1 on."""
+    return np.rint(np.minimum(np.abs(np.log(x)), _SPAN) * (65535 / _SPAN)).astype(np.uint16)
+
+
+def probability(code: np.ndarray) -> np.ndarray:
+    return np.exp(code * (-_SPAN / 65535))
+
+
+def amount(code: np.ndarray) -> np.ndarray:
+    return np.exp(code * (_SPAN / 65535))
+
+
 def _small(counts: np.ndarray) -> np.ndarray:
     """Counts in the least bytes that hold them."""
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
@@ -256,6 +313,10 @@ class Grams:
         return tuple(np.bincount(at, x, n).astype(np.int64) for at, x, n in ((self.pair, own, len(self.keys)), (self.triple, own[self.follows], len(self.triples))))
 
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(_BITS - 32)) * np.uint64(buckets)) >> _32
+
+
 def _messages(texts: DataFrame, buckets: int) -> DataFrame:
     """Rows (bucket, _block, level): the n-grams of each block, with their counts, by bucket."""
 
@@ -263,7 +324,7 @@ def _messages(texts: DataFrame, buckets: int) -> DataFrame:
         for block, hashes, bounds, learn in _runs(batches):
             grams = Grams(hashes, bounds)
             n2, n3 = grams.counts(learn)
-            bucket = ((grams.keys >> np.uint64(_BITS - 32)) * np.uint64(buckets)) >> _32
+            bucket = _bucket(grams.keys, buckets)
             edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             inner = np.searchsorted(grams.triples, edges.astype(np.uint64) << _32)
             rows = []
@@ -307,7 +368,11 @@ def _answer(table: pa.Table) -> pa.Table:
             place = np.cumsum(on) - 1
             t = triples[i][on3]
             t = (place[(t >> _32).astype(np.int64)].astype(np.uint64) << _32) | (t & _LOW32)
-            rows.append((block, pack(*_sequence(keys[i][on]), _small(c2[own[on]]), back[own[on]].astype(np.float32), *_sequence(t), _small(c3[own3[on3]]))))
+            kept, kept3 = own[on], own3[on3]
+            pointers = np.searchsorted(t, np.arange(len(kept) + 1, dtype=np.uint64) << _32)
+            share = (c3[kept3] - DISCOUNT) / c2[(all_triples[kept3] >> _32).astype(np.int64)]
+            levels = [*_sequence(keys[i][on]), *_sequence(pointers), *_sequence(t)]
+            rows.append((block, pack(*levels, quantised(c2[kept] - DISCOUNT), quantised(back[kept]), quantised(share))))
     return pa.table({"_block": pa.array([b for b, _ in rows], pa.int64()), "bucket": pa.array([bucket] * len(rows), pa.int32()), "level": pa.array([x for _, x in rows], pa.binary())})
 
 
@@ -338,18 +403,47 @@ def _take(values: np.ndarray, places: np.ndarray, other: float) -> np.ndarray:
     return out
 
 
+class Trie:
+    """The part of the trie that one bucket gave: pairs, pointers to their successors, successors."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.pairs, self.least = _held(arrays[:4])
+        self.pointers, _ = _held(arrays[4:8])
+        self.successors, self.least3 = _held(arrays[8:12])
+        self.amounts, self.weights, self.shares = arrays[12:]
+
+    def find_pairs(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each pair, or -1."""
+        known = keys >= self.least
+        whole = np.zeros(len(keys), np.int64)
+        return self.pairs.find(whole, np.where(known, self.pairs.n, 0), np.where(known, keys - self.least, 0))
+
+    def find_successors(self, place: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The place of each word among the successors of the pair at ``place``, or -1."""
+        value = place.astype(np.uint64) << _32 | (word & _LOW32)
+        lo, hi = self.pointers[place], self.pointers[place + 1]
+        known = (value >= self.least3) & (lo < hi)
+        return self.successors.find(lo, np.where(known, hi, lo), np.where(known, value - self.least3, 0))
+
+
 class Model:
-    """What the model has on one block: its words, and its levels out of the answers."""
-
-    def __init__(self, words: list[tuple[np.ndarray, np.ndarray, np.ndarray]], levels: list[bytes], stats: dict):
-        self.words, self.stats = words, stats
-        parts = [unpack(x) for x in levels]
-        join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
-        keys = [_values(x[:4]) for x in parts]
-        starts = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.uint64)
-        self.keys, self.c2, self.back2 = join(keys, np.uint64), join([x[4] for x in parts], np.int64), join([x[5] for x in parts], np.float64)
-        self.triples = join([_values(x[6:10]) + (a << _32) for x, a in zip(parts, starts, strict=False)], np.uint64)
-        self.c3 = join([x[10] for x in parts], np.int64)
+    """What the model has on one block: its words, and the parts of the trie, mapped from a file.
+
+    ``buckets`` are the numbers of the buckets that gave the ``levels``, out of ``n_buckets``.
+    """
+
+    def __init__(self, words: list[tuple[np.ndarray, np.ndarray, np.ndarray]], levels: list[bytes], buckets: list[int], n_buckets: int, stats: dict):
+        self.words, self.stats, self.n_buckets = words, stats, n_buckets
+        self.tries: dict[int, Trie] = {}
+        if levels:
+            with tempfile.TemporaryFile() as file:  # it has no name, and goes with the mapping
+                places = []
+                for level in levels:
+                    places.append(file.tell())
+                    file.write(level)
+                file.flush()
+                held = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+            self.tries = {bucket: Trie(unpack(held, at)) for bucket, at in zip(buckets, places, strict=True)}
 
     def score(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count of each token, and log10 of its probability after those before it."""
@@ -363,17 +457,32 @@ class Model:
         grams = Grams(hashes, bounds)
         p = p1[word]
         if len(grams.at):
-            place = _find(self.keys, grams.keys)[grams.pair]
-            c2, back2 = _take(self.c2, place, 0), _take(self.back2, place, 1)
+            amounts, back2, shares = self._looked_up(grams, hashes)
             u, v = word[grams.at], word[grams.at + 1]
-            p2 = np.where(c2 > 0, (c2 - DISCOUNT) / np.maximum(c1[u], 1), 0) + back1[u] * p1[v]
+            p2 = amounts[grams.pair] / np.maximum(c1[u], 1) + back1[u] * p1[v]
             p[grams.at + 1] = p2
             f = grams.follows
-            code = np.where(place[f] >= 0, (place[f].astype(np.uint64) << _32) | (hashes[grams.at[f] + 2] & _LOW32), ~np.uint64(0))
-            c3 = _take(self.c3, _find(self.triples, code), 0)
-            p[grams.at[f] + 2] = np.where(c3 > 0, (c3 - DISCOUNT) / np.maximum(c2[f], 1), 0) + back2[f] * p2[f + 1]
+            p[grams.at[f] + 2] = shares[grams.triple] + back2[grams.pair[f]] * p2[f + 1]
         return c1[word], np.log10(np.maximum(p, 1e-300))
 
+    def _looked_up(self, grams: Grams, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Discounted counts and back-off weights of the distinct pairs, own shares of the triples."""
+        amounts, back2, shares = np.zeros(len(grams.keys)), np.ones(len(grams.keys)), np.zeros(len(grams.triples))
+        bucket = _bucket(grams.keys, self.n_buckets)
+        edges = np.searchsorted(bucket, np.arange(self.n_buckets + 1, dtype=np.uint64))
+        inner = np.searchsorted(grams.triples, edges.astype(np.uint64) << _32)
+        for i, trie in self.tries.items():
+            (a, b), (c, d) = edges[i : i + 2], inner[i : i + 2]
+            place = trie.find_pairs(grams.keys[a:b])
+            on = np.flatnonzero(place >= 0)
+            amounts[a + on] = amount(trie.amounts[place[on]])
+            back2[a + on] = probability(trie.weights[place[on]])
+            under = place[(grams.triples[c:d] >> _32).astype(np.int64) - a]
+            reached = np.flatnonzero(under >= 0)
+            at = trie.find_successors(under[reached], grams.triples[c:d][reached])
+            shares[c + reached[at >= 0]] = probability(trie.shares[at[at >= 0]])
+        return amounts, back2, shares
+
 
 def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
     table = df.toArrow()
@@ -419,12 +528,12 @@ def score_documents(docs: DataFrame, learn: Callable[[], F.Column]) -> DataFrame
     per_token = float(np.log10(stats["N"] + 0.5 * (stats["V"] + 1)))
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.sort_by("bucket")
-        levels = [x.as_py() for x in found.column("level") if x.is_valid]
+        parts = found.filter(found.column("level").is_valid()) if len(found) else found
+        levels, numbers = parts.column("level").to_pylist(), parts.column("bucket").to_pylist()
         own = found.filter(found.column("key").is_valid()) if len(found) else found
         words = [held.value, _sorted(*(own.column(c).to_numpy() for c in ("key", "n", "taken")))]
         hashes, bounds = _tokens(*text_bytes(block.column("text")))
-        n, logs = Model(words, levels, stats).score(hashes, bounds)
+        n, logs = Model(words, levels, numbers, buckets, stats).score(hashes, bounds)
         if not stats["N"]:
             logs = np.zeros(len(n))
             base = logs

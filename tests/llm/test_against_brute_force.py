@@ -468,6 +468,26 @@ def test_rare_words_by_join(spark, docs, monkeypatch):
         assert row["base_score"] == pytest.approx(few[i]["base_score"])
 
 
+def test_quantisation_error():
+    rng = np.random.default_rng(5)
+    shares, counts = np.append(rng.uniform(1e-9, 1, 5000), [1e-10, 1.0]), np.append(rng.uniform(1, 1e9, 5000), [1.0, 1.25])
+    for x, back in ((shares, ngram.probability), (counts, ngram.amount)):
+        assert np.abs(back(ngram.quantised(x)) / x - 1).max() < 0.0002
+
+
+def test_successors_are_sought_under_their_context_only():
+    """Two contexts with one successor in common, one with none, and words that no context has."""
+    pairs, under = np.array([5, 9, 70], np.uint64), [[3, 7], [], [7, 8]]
+    triples = np.array([i << 32 | w for i, own in enumerate(under) for w in own], np.uint64)
+    pointers = np.searchsorted(triples, np.arange(4, dtype=np.uint64) << np.uint64(32))
+    parts = [x for y in (pairs, pointers, triples) for x in ngram._sequence(y)]
+    trie = ngram.Trie(ngram.unpack(ngram.pack(*parts, *(np.zeros(n, np.uint16) for n in (3, 3, 4)))))
+    assert trie.find_pairs(np.array([4, 5, 8, 9, 70, 71], np.uint64)).tolist() == [-1, 0, -1, 1, 2, -1]
+    place = np.repeat(np.arange(3), 4)
+    found = trie.find_successors(place, np.tile(np.array([2, 3, 7, 8], np.uint64), 3))
+    assert found.tolist() == [-1, 0, 1, -1, -1, -1, -1, -1, -1, -1, 2, 3]
+
+
 def test_elias_fano_gives_back_every_value():
     rng = np.random.default_rng(3)
     for n, top in ((0, 1), (1, 0), (1, 2**40), (1000, 50), (5000, 2**41), (3000, 2**62)):
