@@ -278,6 +278,12 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT symbol, 'back', make_timestamp(ms * 1000), make_timestamp(following * 1000)
         FROM p, e WHERE following - ms > 1800000 AND following <= ended""",
+    "live_flow": f"""{_TICKS},
+        e AS (SELECT max(trade_time) - INTERVAL 5 MINUTE AS ended FROM t)
+        SELECT date_trunc('hour', trade_time)::TIMESTAMP AS window_start,
+               CASE WHEN contains(symbol, 'BINANCE') THEN 'Crypto' ELSE 'Stock' END AS asset_class,
+               symbol, count(*) AS n_ticks, sum(volume) AS volume
+        FROM t, e WHERE date_trunc('hour', trade_time) + INTERVAL 1 HOUR <= ended GROUP BY ALL""",
     "gap_minutes": _with_bars(
         "minute",
         """, r AS (SELECT symbol, unnest(generate_series(min(window_start), max(window_start),

@@ -35,7 +35,7 @@ from barloom.sources.layers import Layer, unreadable_files
 from barloom.sources.mart import Mart
 from barloom.sources.paths import create_text
 from barloom.streaming import jobs
-from barloom.streaming.pulse import start_pulse
+from barloom.streaming.pulse import start_flow, start_pulse
 from barloom.streaming.repair import start_repair
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,6 +424,18 @@ def live_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("symbol STRING, status STRING, since TIMESTAMP_NTZ, at TIMESTAMP_NTZ").parquet(f"{root}/out")
 
 
+def live_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow rates of the hours that are over, from three runs of the stream."""
+    root = scratch_dir(spark, "flow")
+    ticks = T.timed(T.trades(spark, sf_dir))
+    cuts = [F.lit(0), *(F.lit(ms) for ms in CUTS), F.lit(2**62)]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        ticks.filter(F.col("source_timestamp").between(a, b - 1)).write.parquet(f"{root}/in/{i}")
+        source = spark.readStream.schema(ticks.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        start_flow(source, f"{root}/out", f"{root}/ck", width="1 hour").awaitTermination()
+    return spark.read.schema(flow_rate(ticks).schema).parquet(f"{root}/out")
+
+
 def gap_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps(candles_1m(spark, sf_dir))
 
@@ -538,6 +550,7 @@ QUERIES: dict[str, Query] = {
         flow_rates,
         pulse_no_data,
         live_pulse,
+        live_flow,
         gap_minutes,
         replay_day_range,
         stream_candles,

@@ -1,4 +1,4 @@
-"""Live pulse: which watched symbols fall silent, and when they are back.
+"""Live pulse: how many ticks flow, which watched symbols fall silent, and when they are back.
 
 Two clocks are there. By ``event`` time a symbol is judged by the trade times of the whole feed,
 so a replay finds what the live run found, and ticks may come out of order within ``delay``.
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from barloom.functions.times import ms_to_instant, ms_to_utc, width_micros
 from barloom.operators.frames import only_watched
 from barloom.operators.lookup import watchlist_frame
+from barloom.plans.monitor import flow_rate
 from barloom.session import ship
 from barloom.streaming.jobs import _rocksdb, _start
 
@@ -192,3 +193,17 @@ def start_pulse(
     writer = live_pulse(ticks, watchlist, silence, delay, clock).writeStream.format("parquet").option("path", path)
     with _rocksdb(ticks.sparkSession):
         return _start(writer.outputMode("append"), checkpoint, every)
+
+
+def start_flow(
+    ticks: DataFrame, path: str, checkpoint: str, every: str | None = None, width: str = "1 minute", delay: str = DELAY
+) -> StreamingQuery:
+    """Ticks and volume per window, class and symbol as Parquet, each window once.
+
+    ``ticks`` stream the clean layer. A window is written when the feed is ``delay`` past its
+    end; ticks that come later do not count.
+    """
+    rows = flow_rate(ticks.withWatermark("trade_time", delay), width)
+    writer = rows.writeStream.format("parquet").option("path", path)
+    with _rocksdb(ticks.sparkSession):
+        return _start(writer.outputMode("append"), checkpoint, every)
