@@ -300,6 +300,16 @@ ORACLE: dict[str, str] = {
     ),
     "stream_candles": _with_bars("hour", " SELECT * FROM b"),
     "late_repair": _with_bars("hour", " SELECT * FROM b"),
+    "live_candles": f"""{_TICKS.replace("v AS (", "v1 AS (")},
+        v AS (SELECT v1.* FROM v1, range(1 + (n % 10 = 0)::INT + (n % 7 = 1)::INT)),
+        b AS ({_bars("minute")}) SELECT * FROM b""",
+    "live_counters": f"""{_TICKS}{_TIMES},
+        c AS (SELECT count(*) AS n_read, count(*) FILTER (WHERE price > 0 AND volume > 0) AS n_kept,
+                     sum((n % 3 = 0)::INT + (n % 13 = 0)::INT + (n % 17 = 0)::INT + (n % 19 = 0)::INT + (n % 23 = 0)::INT) AS n_bad
+              FROM m)
+        SELECT 'bronze' AS counter, n_read AS n FROM c UNION ALL SELECT 'silver_read', n_read FROM c
+        UNION ALL SELECT 'silver_kept', n_kept FROM c
+        UNION ALL SELECT 'quarantine', CAST(n_bad + (SELECT count(*) FROM t WHERE n % 11 = 0) AS BIGINT) FROM c""",
     "medallion": f"""{_TICKS.replace("v AS (", "v1 AS (")},
         v AS (SELECT * FROM v1 UNION ALL SELECT * FROM v1 WHERE n % 10 = 0),
         b AS ({_bars("minute")}) SELECT * FROM b""",

@@ -59,3 +59,13 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(
         s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators
     )
+
+
+def totals_of(*queries: StreamingQuery) -> Counter[str]:
+    """The observed counts of all recent batches of these queries; unlike a listener, at once."""
+    totals: Counter[str] = Counter()
+    for query in queries:
+        for progress in query.recentProgress:
+            for name, row in progress.observedMetrics.items():
+                totals[name] += row["rows"]
+    return totals
