@@ -82,8 +82,9 @@ def test_lines_on_many_sites_go(spark):
     got = {r["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
     for i, text, _ in rows[:60]:
         assert got[i]["text"] == text.removeprefix("shared line\n") and (got[i]["n_lines"], got[i]["n_removed"], got[i]["n_chars_removed"]) == (4, 1, 11)
-    for i, text, _ in rows[60:101]:
+    for i, text, _ in rows[60:100]:
         assert got[i]["text"] == text and got[i]["n_removed"] == 0
+    assert (got[200]["text"], got[200]["n_removed"]) == ("", 1)
     assert got[201]["text"] == prose(400, 20) and got[201]["n_removed"] == 2
 
 
@@ -93,6 +94,28 @@ def test_the_threshold_is_exact(spark, sites):
     assert lines.boilerplate_lines(docs).count() == (sites >= lines.MIN_SITES)
 
 
+def test_stubs_of_shared_lines_lose_them(spark):
+    rows = [(i, f"a line that stands on every site of all\n{prose(i, 4)}", f"s{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
+    assert all((got[i]["text"], got[i]["n_removed"]) == (prose(i, 4), 1) for i in range(30))
+
+
+def test_lines_on_many_sites_by_copies_alone_stay(spark):
+    exact = "\n".join(prose(900 + i, 12) for i in range(6))
+    near = [prose(950 + i, 12) for i in range(20)]
+    rows = [(i, exact, f"s{i}") for i in range(15)]
+    for i in range(15):  # each copy has another word in one line
+        own = [*near[:i], near[i] + f" w{i}", *near[i + 1 :]]
+        rows.append((100 + i, "\n".join(["a line of all sites", *own]), f"s{i}"))
+    rows += [(200 + i, f"a line of all sites\n{prose(i, 30)}", f"s{i}") for i in range(10)]
+    rows.append((300, f"{near[3]}\n{prose(77, 40)}", "s99"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
+    for i, text, _ in rows:
+        assert got[i]["text"] == text.removeprefix("a line of all sites\n"), i
+
+
 CASES = {
     "Released under the MIT License.": "MIT",
     "text before.\nLicensed under the Apache License, Version 2.0.\nYou": "Apache-2.0",
