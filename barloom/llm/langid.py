@@ -26,6 +26,10 @@ WIDTHS = (2, 3, 5)
 FILTERS = 16
 EMBEDDING = 6
 EPOCHS = 10
+#: What the network calls text in no language, where it learns that too, and the mean probability of
+#: it from which on a text is rejected.
+NOISE = "\0noise"
+NOISE_SCORE = 0.95
 #: What a text without any letter, or a null, is said to be.
 UNDETERMINED = "und"
 _BATCH = 64
@@ -150,8 +154,31 @@ def _labelled_sample(docs: DataFrame, learn: Column) -> DataFrame:
     return first.select("lang", "_n", F.array(*parts).alias("parts"))
 
 
-def train(docs: DataFrame, learn: Column) -> Network | None:
-    """A network from labelled documents where ``learn`` holds; None if there are none."""
+def noise_of(windows: np.ndarray, seed: int = 11) -> np.ndarray:
+    """As many windows of noise: in turn the same characters in random order, and random ASCII.
+
+    Order is drawn over whole characters, so the bytes of one stay together.
+    """
+    rng = np.random.default_rng(seed)
+    out = np.zeros_like(windows)
+    for i, window in enumerate(windows):
+        size = int((window > 0).sum())
+        if i % 2:
+            own = LOWER[rng.integers(33, 127, size).astype(np.uint8)]
+        else:
+            starts = np.flatnonzero(window[:size] & 0xC0 != 0x80)
+            parts = np.split(window[:size], starts[starts > 0])
+            own = np.concatenate([parts[j] for j in rng.permutation(len(parts))]) if parts else window[:size]
+        out[i, :size] = own
+    return out
+
+
+def train(docs: DataFrame, learn: Column, noise: bool = False) -> Network | None:
+    """A network from labelled documents where ``learn`` holds; None if there are none.
+
+    With ``noise`` it has one more class, ``NOISE``, learned from the same windows out of order
+    and from random characters.
+    """
     rows = _labelled_sample(docs, learn).collect()
     if not rows:
         return None
@@ -161,7 +188,12 @@ def train(docs: DataFrame, learn: Column) -> Network | None:
     windows = np.zeros((len(texts), WINDOW), np.uint8)
     for i, (_, part) in enumerate(texts):
         windows[i, : len(part)] = LOWER[np.frombuffer(part, np.uint8)]
-    return Network(languages).fit(windows, np.array([label for label, _ in texts]))
+    labels = np.array([label for label, _ in texts])
+    if noise:
+        windows = np.concatenate([windows, noise_of(windows)])
+        labels = np.concatenate([labels, np.full(len(labels), len(languages))])
+        languages = [*languages, NOISE]
+    return Network(languages).fit(windows, labels)
 
 
 def predict(docs: DataFrame, network: Network | None) -> DataFrame:
@@ -219,18 +251,21 @@ def held_out(remainder: int, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language is identified, with their own columns: not ``und``, and at
-    least ``min_score``. By default a text of several languages stays, under the strongest.
+def identified(docs: DataFrame, noise_score: float = NOISE_SCORE) -> DataFrame:
+    """The documents in some language, with their own columns. A text goes that is ``und``, or
+    whose windows are noise to the network with a mean probability of ``noise_score`` or more; a
+    text of several languages, or one that is partly noise, stays.
 
-    The network learns from the labelled ones that ``op7`` learns from; without any, every text
-    with a letter stays. Repeated rows are judged alike; an empty table stays empty.
+    The network learns from the labelled documents that ``op7`` learns from and from noise made of
+    them; without any, every text with a letter stays. Repeated rows are judged alike; an empty
+    table stays empty, and columns named as those of ``predict`` are kept as they are.
     """
-    network = train(docs, ~held_out(2, 4))
+    network = train(docs, ~held_out(2, 4), noise=True)
     if network is None:
         return docs.where(F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
     rows, own_columns = aside(docs, "lang_pred", "score")
-    return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))
+    noise = (F.col("lang_pred") == NOISE) & (F.col("score") >= noise_score)
+    return own_columns(predict(rows, network).where((F.col("lang_pred") != UNDETERMINED) & ~noise))
 
 
 def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
