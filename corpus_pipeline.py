@@ -19,7 +19,7 @@ from barloom.session import scratch_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: a null text, or one without any letter."""
+    """Drops documents in no language: a null text, one without any letter, or noise to the network."""
     return identified(docs)
 
 
