@@ -17,9 +17,10 @@ from barloom.llm.common import aside, checkpoint, read
 
 #: Sites from which on a line counts as boilerplate.
 MIN_SITES = 10
-#: A text of which lines on many sites make up this share or more is a copy of other texts, as
-#: near duplicates are; all copies of its kind count as one text when sites are counted.
-COPY_SHARE = 0.8
+#: A text of which lines on many sites, at least this many of them, make up this share or more is
+#: a copy of other texts; all copies of its kind count as one text when sites are counted.
+COPY_LINES = 3
+COPY_SHARE = 0.5
 #: log2 of the sketch's registers; an estimate's standard error is 1.04 / sqrt(2 ** LG_K).
 LG_K = 10
 
@@ -82,7 +83,7 @@ def _by_text(docs: DataFrame, min_sites: int, lg_k: int) -> tuple[DataFrame, Dat
         .agg(F.min("site").alias("site"), F.min("n_chars").alias("n_chars"), F.collect_list("line").alias("lines"))
     )
     shared = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    kind = F.when(shared >= COPY_SHARE * F.col("n_chars"), F.array_min(F.transform("lines", lambda x: x["digest"])))
+    kind = F.when((F.size("lines") >= COPY_LINES) & (shared >= COPY_SHARE * F.col("n_chars")), F.array_min(F.transform("lines", lambda x: x["digest"])))
     texts = checkpoint(texts.withColumn("kind", F.coalesce(kind, F.concat_ws(" ", "t1", "t2"))))
     rows = texts.select("site", "kind", F.explode("lines").alias("line")).select("line.h1", "line.h2", "kind", "site")
     rows = rows.groupBy("h1", "h2", "kind").agg(F.min("site").alias("site"))
@@ -93,8 +94,8 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = L
     """Keys (h1, h2) of the lines on at least ``min_sites`` distinct non-null sites.
 
     Equal texts count as one, on the least of their sites, and so do copies with small changes:
-    texts that consist of such lines by ``COPY_SHARE`` or more and have the least digest of them
-    in common. What stands on many sites only by whole copies is no boilerplate.
+    texts of ``COPY_LINES`` such lines or more that make up ``COPY_SHARE`` of them or more, with the
+    least digest of these lines in common. What stands on many sites only by whole copies is no boilerplate.
     """
     return _by_text(docs, min_sites, lg_k)[1]
 
@@ -155,7 +156,8 @@ own AS (
 wide AS (
     SELECT o.line FROM own o JOIN documents d ON o.text = d.text GROUP BY o.line HAVING count(DISTINCT d.source) >= {MIN_SITES}),
 kinds AS (
-    SELECT o.text, CASE WHEN sum(length(o.line)) FILTER (WHERE w.line IS NOT NULL) >= {COPY_SHARE} * sum(length(o.line))
+    SELECT o.text, CASE WHEN count(w.line) >= {COPY_LINES}
+                         AND sum(length(o.line)) FILTER (WHERE w.line IS NOT NULL) >= {COPY_SHARE} * sum(length(o.line))
                         THEN min(md5(o.line)) FILTER (WHERE w.line IS NOT NULL) ELSE 'text ' || o.text END AS kind
     FROM own o LEFT JOIN wide w ON o.line = w.line GROUP BY o.text),
 once AS (
