@@ -265,7 +265,7 @@ def plain_classes(rows):
         sets[i] = collections.Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else {}
         n += bool(w)
     df = collections.Counter(s for c in sets.values() for s in c)
-    idf = {s: 1 + math.log(1 / max(0.1, k / n)) for s, k in df.items()}
+    idf = {s: 1 + math.log(n / k) for s, k in df.items()}
     parent = list(range(len(rows)))
 
     def find(x):
@@ -315,6 +315,39 @@ def test_classes_of_a_large_group(spark):
     assert sorted(kept) == sorted(set(want.values()))
 
 
+def test_rare_shingles_have_weights_of_their_own(spark, monkeypatch):
+    """All stand in less than a tenth of 100 documents."""
+    from barloom.llm import ngram
+
+    monkeypatch.setattr(ngram, "TEXT_BYTES", 4096)  # so that frequencies add up over blocks
+    passage, phrases = prose(1, 40), [prose(2, 13), prose(3, 13)]
+    # 36 shingles of 6 documents shared, 8 of one not: 0.82 if all weighed the same
+    rows = [(i, f"{passage} {prose(100 + i, 4)}") for i in range(6)]
+    # 96 of two documents shared, 18 of eight and 8 of one not: 0.79 if all weighed the same
+    own = prose(4, 100)
+    rows += [(10 + k, f"{own} {phrases[k]}") for k in range(2)]
+    rows += [(20 + 7 * k + i, f"{phrases[k]} {prose(200 + 7 * k + i, 60)}") for k in range(2) for i in range(7)]
+    rows += [(50 + i, prose(300 + i, 60)) for i in range(100 - len(rows))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicate_classes(frame).collect()}
+    assert got == {i: 10 if i == 11 else i for i, _ in rows} == plain_classes(rows)
+
+
+def test_document_frequencies_add_up_over_blocks(spark, monkeypatch):
+    from barloom.llm import ngram
+
+    monkeypatch.setattr(ngram, "TEXT_BYTES", 2048)
+    rows = [(i, f"{prose(i % 7, 30)} {prose(i // 3 + 50, 20)} one") for i in range(90)] + [(90, "one two"), (91, ""), (92, "one two")]
+    texts = ngram.blocked(spark.createDataFrame(rows, "node long, text string").repartition(3))
+    texts = neardup.stored(texts, "text-blocks")
+    assert texts.select("_block").distinct().count() > 5
+    signed = neardup._block_signatures(texts, neardup.document_frequencies(texts, 4), 4, 92).collect()
+    df = collections.Counter(s for _, t in rows if (w := words(t)) for s in {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))})
+    want = {i: sorted(df[s] for s in {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))}) for i, t in rows if (w := words(t))}
+    assert max(df.values()) < 256
+    assert {r["node"]: sorted(r["documents"]) for r in signed} == want
+
+
 def test_the_rest_of_a_bucket_is_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     base = prose(1, 200).split()
