@@ -331,6 +331,8 @@ def test_rare_shingles_have_weights_of_their_own(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicate_classes(frame).collect()}
     assert got == {i: 10 if i == 11 else i for i, _ in rows} == plain_classes(rows)
+    kept = [r["doc_id"] for r in neardup.without_near_duplicates(frame).collect()]  # the pipeline's stage
+    assert sorted(kept) == [i for i, _ in rows if i != 11]
 
 
 def test_document_frequencies_add_up_over_blocks(spark, monkeypatch):
