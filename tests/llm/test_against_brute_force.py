@@ -559,6 +559,46 @@ def test_rare_words_by_join(spark, docs, monkeypatch):
         assert row["base_score"] == pytest.approx(few[i]["base_score"])
 
 
+@pytest.mark.parametrize("share", [0.03, 1.0])
+def test_numbers_of_rare_words(spark, monkeypatch, share):
+    """Words that no task is sent, some and all, have numbers of their own in pairs and triples."""
+    monkeypatch.setattr(ngram, "COUNT_SHARE", share)
+    train = ["the cat sat on the mat", "a dog sat on the mat", "the cat ran", "the dog ran on a mat"] * 2 + ["once only"]
+    held = ["the cat sat on the dog", "unseen words here", "", "a dog ran", "the cat unseen sat on"]
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(100 + i, t, False) for i, t in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in ngram.score_documents(docs, lambda: F.col("learn")).collect()}
+    for i, want in enumerate(plain_scores(train, held)):
+        assert got[100 + i] == pytest.approx(want, abs=0.01)
+
+
+def test_keys_of_pairs_tell_both_words():
+    rng = np.random.default_rng(7)
+    for bits in (16, 22, 31, 32):
+        first, second = (np.append(rng.integers(0, 1 << bits, 5000), [0, 0, (1 << bits) - 1]) for _ in "ab")
+        keys = ngram.scrambled(first, second, bits)
+        assert (ngram.first_of(keys, bits) == first.astype(np.uint64)).all() and int(keys.max()) < 1 << 2 * bits
+        assert len(np.unique(keys)) == len(set(zip(first.tolist(), second.tolist(), strict=True)))
+
+
+def test_n_grams_on_their_way_are_small():
+    """A block's pairs and triples take under five bytes each, counts included; ten by hashes with a copy of the context."""
+    rng = np.random.default_rng(11)
+    numbers, bounds = rng.integers(0, 1 << 22, 600_000), np.arange(0, 600_001, 200)
+    learn = np.ones(len(numbers), bool)
+    grams = ngram.Grams(numbers, bounds, 22)
+    assert sum(len(level) for _, level in grams.levels(learn, 256)) < 5 * (len(grams.keys) + len(grams.triples))
+
+
+def test_texts_are_scored_where_they_are_stored(spark):
+    docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(30)], "doc_id long, text string")
+    scored = ngram.score_documents(docs, lambda: F.col("doc_id") < 20)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    texts = next(part for part in plan.split("FileScan") if "text#" in part.split("\n")[0])
+    assert "Bucketed: true" in texts
+    assert scored.count() == 30
+
+
 def test_quantisation_error():
     rng = np.random.default_rng(5)
     shares, counts = np.append(rng.uniform(1e-9, 1, 5000), [1e-10, 1.0]), np.append(rng.uniform(1, 1e9, 5000), [1.0, 1.25])
