@@ -7,13 +7,14 @@ import os
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import sentencepiece
 from conftest import LOWER, prose, words
 from pyspark.sql import functions as F
 
-from barloom.llm import fingerprints, html, langid, neardup, ngram, token_counts
+from barloom.llm import common, fingerprints, html, langid, neardup, ngram, token_counts
 from barloom.llm import sentencepiece as pieces
 from barloom.llm.common import Words, read, text_bytes
 
@@ -350,6 +351,54 @@ def test_document_frequencies_add_up_over_blocks(spark, monkeypatch):
     assert {r["node"]: sorted(r["documents"]) for r in signed} == want
 
 
+def test_a_block_read_by_several_tasks_has_all_its_frequencies(spark, tmp_path):
+    rows = [(i, f"{prose(i % 7, 30)} {prose(i // 3 + 50, 20)}") for i in range(90)]
+    texts = spark.createDataFrame(rows, "node long, text string").withColumn("_block", F.lit(5).cast("long"))
+    texts.repartition(3).write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    assert len({r[0] for r in texts.select(F.input_file_name()).collect()}) == 3
+    counts = neardup.document_frequencies(texts, 4)
+    assert counts.groupBy("_block", "bucket").count().where("count > 1").isEmpty()
+    signed = neardup._block_signatures(texts, counts, 4, 90).collect()
+    df = collections.Counter(s for _, t in rows for s in {tuple(t.split()[j : j + 5]) for j in range(46)})
+    assert {r["node"]: sorted(r["documents"]) for r in signed} == {i: sorted(df[tuple(t.split()[j : j + 5])] for j in range(46)) for i, t in rows}
+
+
+def test_near_duplicates_of_stored_texts_that_are_split(spark, monkeypatch):
+    """Stored texts are read by row group: parts of one block, by several tasks."""
+    passage, phrases = prose(1, 40), [prose(2, 13), prose(3, 13)]
+    own = prose(4, 100)
+    # as above: these two are linked by full IDF only
+    rows = [(10 + k, f"{own} {phrases[k]}") for k in range(2)]
+    rows += [(20 + 7 * k + i, f"{phrases[k]} {prose(200 + 7 * k + i, 60)}") for k in range(2) for i in range(7)]
+    rows += [(i, f"{passage} {prose(100 + i, 4)}") for i in range(6)]
+    rows += [(50 + i, prose(300 + i, 60)) for i in range(100 - len(rows))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    settings = {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    write = common.Scratch.stored
+    small = {"parquet.block.size": "1024", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.page.size": "256"}
+    monkeypatch.setattr(common.Scratch, "stored", lambda self, df, name, **options: write(self, df, name, **options, **small))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(kept) == sorted(set(plain_classes(rows).values())) == sorted(i for i, _ in rows if i != 11)
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_classes_of_texts_without_words(spark, partitions):
+    rows = [(1, "---"), (2, "..."), (3, "---"), (4, ""), (5, ""), (6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    got = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in neardup.near_duplicate_classes(frame).collect()}
+    assert got == {1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 2), 5: (4, 2), 6: (6, 1)}
+    kept = corpus_pipeline.near_duplicates(spark, frame, "").collect()  # the pipeline's stage
+    assert sorted(r["doc_id"] for r in kept) == [1, 2, 4, 6]
+
+
 def test_the_rest_of_a_bucket_is_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     base = prose(1, 200).split()
