@@ -389,6 +389,72 @@ def test_near_duplicates_of_stored_texts_that_are_split(spark, monkeypatch):
     assert sorted(kept) == sorted(set(plain_classes(rows).values())) == sorted(i for i, _ in rows if i != 11)
 
 
+def plain_classes_counted_once(rows):
+    """Classes by all pairs, where those so far count once in the frequencies, until none grows."""
+    sets = {i: collections.Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) for i, (_, t) in enumerate(rows) if (w := words(t))}
+    holders = collections.defaultdict(list)
+    for i, c in sets.items():
+        for s in c:
+            holders[s].append(i)
+    pairs = {(a, b) for own in holders.values() for k, b in enumerate(own) for a in own[:k]}
+    by_text = {}
+    equal = [by_text.setdefault(t, i) if t is not None else i for i, (_, t) in enumerate(rows)]
+    parent, units, steps = list(range(len(rows))), list(range(len(rows))), []
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i, j in enumerate(equal):
+        parent[find(i)] = find(j)
+    while not steps or len(set(units)) > steps[-1]:
+        if steps:
+            units = [find(i) for i in range(len(rows))]
+        idf = {s: 1 + math.log(len(sets) / len({units[i] for i in own})) for s, own in holders.items()}
+        for a, b in pairs:
+            if find(a) != find(b):
+                x, y = sets[a], sets[b]
+                both = sum(min(x[s], y[s]) * idf[s] for s in x.keys() & y.keys())
+                if both >= 0.8 * (sum(k * idf[s] for c in (x, y) for s, k in c.items()) - both):
+                    parent[find(a)] = find(b)
+        steps.append(len({find(i) for i in range(len(rows))}))
+    groups = collections.defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        groups[find(i)].append(doc_id)
+    return {doc_id: min(own) for own in groups.values() for doc_id in own}, steps
+
+
+def larger_groups():
+    """Groups of copies with up to eight of 400 words changed, of 100 and of 12, and passages that unlike texts share."""
+    rows = []
+    for first, size in ((0, 100), (1000, 12)):
+        base = prose(first + 1, 400).split()
+        for i in range(size):
+            own = list(base)
+            for j in range(8 if i % 33 == 32 else i % 8):
+                own[(i * 31 + j * 47) % 400] = f"new{first + i}x{j}"
+            rows.append((first + i, " ".join(own)))
+        rows += [(first + 500 + i, " ".join(base[:80]) + " " + prose(first + 200 + i, 100)) for i in range(20)]
+    return rows + [(5000 + i, prose(5000 + i, 9)) for i in range(4000)]
+
+
+def test_copies_within_larger_groups(spark, tmp_path, monkeypatch):
+    from barloom.llm import ngram
+
+    monkeypatch.setattr(ngram, "TEXT_BYTES", 16384)  # so that classes lie in several blocks
+    rows = larger_groups()
+    want, steps = plain_classes_counted_once(rows)
+    assert len(steps) > 3  # grown and grown again, by frequencies in which grown classes count once
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.op6_weighted_sampling(spark, str(tmp_path)).collect()}
+    assert got == want
+    by_documents = plain_classes(rows)
+    assert len(set(by_documents.values())) > len(set(want.values())) + 10
+    # what unlike texts share makes them no copies
+    assert all(got[i] == i for i, _ in rows if 500 <= i % 1000 or i >= 5000)
+
+
 @pytest.mark.parametrize("partitions", [1, 3])
 def test_classes_of_texts_without_words(spark, partitions):
     rows = [(1, "---"), (2, "..."), (3, "---"), (4, ""), (5, ""), (6, None)]
